@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.knn import KnnRule, most_similar, similar_pairs
 from corpusloom.llm.neardup import NearDupRule, NearDups, near_duplicates
 from corpusloom.llm.splitting import split_texts
 from corpusloom.sources.tables import read_table
@@ -13,6 +14,14 @@ from corpusloom.sources.tables import read_table
 NEAR_DUP_RULE = NearDupRule(words=3, threshold=0.7, min_words=20)
 
 
+# TESTDATA.md: 64 values, cosine similarity of at least 0.85, the five most similar
+KNN_RULE = KnnRule(k=5, min_similarity=0.85, dim=64)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return similar_pairs(most_similar(read_table(spark, d, "chunks"), rule=KNN_RULE))
+
+
 def _near_dups(spark: SparkSession, d: str) -> NearDups:
     kinds = (("page", "pages"), ("chunk", "chunks"))
     parts = [read_table(spark, d, table).select(F.lit(kind).alias("record_kind"), "id", F.col("content").alias("text")) for kind, table in kinds]
@@ -40,5 +49,5 @@ def p4_piece_stats(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_piece_stats)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats)}
 SQL: dict[str, str] = {}
