@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.knn import KnnRule, most_similar, similar_pairs
+from corpusloom.llm.mixing import Mix, mix_sources
 from corpusloom.llm.neardup import NearDupRule, NearDups, near_duplicates
+from corpusloom.llm.packing import Packing, fill_containers
 from corpusloom.llm.splitting import split_texts
+from corpusloom.llm.tokens import Tokenizer, count_tokens
 from corpusloom.sources.tables import read_table
 
 # TESTDATA.md: three-word sequences, at least 0.7 of their union
@@ -49,5 +52,48 @@ def p4_piece_stats(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats)}
+TOKENIZER = Tokenizer()
+
+
+def _packed(spark: SparkSession, d: str) -> Packing:
+    capacity = read_table(spark, d, "containers").agg(F.max("capacity_tokens")).first()[0]  # one row, fixed
+    sizes = count_tokens(read_table(spark, d, "documents"), "doc_id", "text", TOKENIZER)
+    return fill_containers(sizes, int(capacity))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that the packing had to split."""
+    return _packed(spark, d).placed.where("continued").select(F.col("key").alias("doc_id")).distinct()
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Where each document, or each part of a split one, lies."""
+    return _packed(spark, d).placed.select(F.col("key").alias("doc_id"), F.col("part").alias("part_no"), F.col("size").alias("tokens"), "start_token", "container_id")
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Containers used, the certified lower bound, and the share of room used."""
+    packing = _packed(spark, d)
+    capacity = read_table(spark, d, "containers").agg(F.max("capacity_tokens").alias("capacity"))
+    return capacity.select("capacity", F.lit(packing.containers).cast("bigint").alias("containers"), F.lit(packing.bound).cast("bigint").alias("lower_bound"), F.lit(packing.tokens).cast("bigint").alias("tokens"))
+
+
+def _mixed(spark: SparkSession, d: str) -> Mix:
+    sized = count_tokens(read_table(spark, d, "documents"), "doc_id", "text", TOKENIZER, "source")
+    return mix_sources(sized, read_table(spark, d, "mix_targets"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d).report.where("falls_short").select("source")
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d).report
+
+
+def p7_copies(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d).copies.select(F.col("key").alias("doc_id"), "source", "tokens", "copies")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p7_found, p7_shares, p7_copies)}
 SQL: dict[str, str] = {}
