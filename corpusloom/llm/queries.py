@@ -9,6 +9,7 @@ from corpusloom.llm.knn import KnnRule, most_similar, similar_pairs
 from corpusloom.llm.mixing import Mix, mix_sources
 from corpusloom.llm.neardup import NearDupRule, NearDups, near_duplicates
 from corpusloom.llm.packing import Packing, fill_containers
+from corpusloom.llm.quality import text_quality
 from corpusloom.llm.splitting import split_texts
 from corpusloom.llm.tokens import Tokenizer, count_tokens
 from corpusloom.sources.tables import read_table
@@ -95,5 +96,17 @@ def p7_copies(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d).copies.select(F.col("key").alias("doc_id"), "source", "tokens", "copies")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p7_found, p7_shares, p7_copies)}
+def _quality(spark: SparkSession, d: str) -> DataFrame:
+    return text_quality(read_table(spark, d, "documents"), read_table(spark, d, "common_words"), read_table(spark, d, "doc_labels"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _quality(spark, d).where("text_class <> 'prose'").select("doc_id")
+
+
+def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _quality(spark, d)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p7_found, p7_shares, p7_copies, p8_found, p8_statistics)}
 SQL: dict[str, str] = {}
