@@ -68,31 +68,33 @@ def _directions(dim: int, count: int) -> np.ndarray:
     return np.random.default_rng(SEED + 1).normal(size=(dim, count)).astype(np.float32)
 
 
-def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which, position) over all ``[start, stop)``."""
-    n = np.maximum(stop - start, 0)
-    which = np.repeat(np.arange(len(n), dtype=np.int32), n)
-    return which, np.arange(len(which), dtype=np.int64) + np.repeat(start - (np.cumsum(n) - n), n)
-
-
 class SortedProjections:
-    """One sorted array per direction over the vectors of a cell."""
+    """One sorted array per direction over the vectors of a cell, and each vector's place in it."""
 
     def __init__(self, vectors: np.ndarray, directions: np.ndarray):
         self.n, self.m = len(vectors), directions.shape[1]
-        h = (vectors @ directions).T  # m x n
-        self.order = np.argsort(h, axis=1, kind="stable").astype(np.int32)
-        ranked = np.take_along_axis(h, self.order, axis=1).astype(np.float64)
-        self.stride = 64.0  # projections of unit vectors lie far inside (-32, 32)
-        self.keys = (ranked + self.stride * np.arange(self.m)[:, None]).ravel()
-        self.flat = self.order.ravel()
-
-    def window(self, h: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
-        """[lo, hi) in ``flat`` for each direction and query; ``h`` is m x queries."""
-        centre = h + self.stride * np.arange(self.m)[:, None]
-        lo = np.searchsorted(self.keys, (centre - half).ravel(), side="left")
-        hi = np.searchsorted(self.keys, (centre + half).ravel(), side="right")
-        return lo, hi
+        self.kind = np.uint16 if self.n < 1 << 16 else np.uint32
+        h = np.ascontiguousarray((vectors @ directions).T)
+        order = np.argsort(h, axis=1, kind="stable")
+        self.ranked = np.take_along_axis(h, order, axis=1)
+        self.place = np.empty((self.m, self.n), self.kind)
+        np.put_along_axis(self.place, order, np.arange(self.n, dtype=self.kind)[None, :], axis=1)
+
+    def collisions(self, h: np.ndarray, half: float) -> np.ndarray:
+        """In how many directions each vector lies in the window of ``half`` around each query; ``h`` is m x queries.
+
+        A window is a range of places, found by binary search; a vector is inside if its place is.
+        """
+        counts = np.zeros((h.shape[1], self.n), np.uint8)
+        offset = np.empty(counts.shape, self.kind)
+        inside = np.empty(counts.shape, bool)
+        for j in range(self.m):
+            lo = np.searchsorted(self.ranked[j], h[j] - np.float32(half), side="left").astype(self.kind)
+            hi = np.searchsorted(self.ranked[j], h[j] + np.float32(half), side="right").astype(self.kind)
+            np.subtract(self.place[j], lo[:, None], out=offset)  # unsigned: places below lo wrap to large values
+            np.less(offset, (hi - lo)[:, None], out=inside)
+            np.add(counts, inside.view(np.uint8), out=counts)
+        return counts
 
 
 def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,32 +103,20 @@ def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, sam
     arrays = SortedProjections(points, directions)
     n = len(points)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    step = max(8, (1 << 18) // max(n, 1))
+    step = max(8, (1 << 17) // max(n, 1))
     floor = rule.min_similarity - MARGIN
     for at in range(0, len(queries), step):
         block = queries[at : at + step]
-        h = (block @ directions).T.astype(np.float64)
-        counts = np.zeros(len(block) * n, np.uint8)
+        h = np.ascontiguousarray((block @ directions).T)
         active = np.arange(len(block))
-        inner_lo = inner_hi = None
-        near = np.zeros(len(block), np.int64)
-        best: list[np.ndarray] = []
         for radius in rule.schedule:
-            lo, hi = arrays.window(h[:, active], rule.half_width * radius)
-            if inner_lo is None:
-                spans = [(lo, hi)]
-            else:  # only the rings that the widening adds
-                spans = [(lo, inner_lo), (inner_hi, hi)]
-            for start, stop in spans:
-                which, pos = _ranges(start, stop)
-                cell = active[which % len(active)].astype(np.int64) * n + arrays.flat[pos]
-                counts += np.bincount(cell, minlength=len(counts)).astype(np.uint8)
-            hit = np.flatnonzero(counts >= rule.collisions)
-            q, p = hit // n, hit % n
+            counts = arrays.collisions(h[:, active], rule.half_width * radius)
+            q, p = np.nonzero(counts >= rule.collisions)
+            q = active[q]
             live = np.zeros(len(block), bool)
             live[active] = True
-            keep = live[q] & ((q + at != p) | (not same))
-            q, p = q[keep], p[keep]
+            if same:
+                q, p = q[q + at != p], p[q + at != p]
             s = np.einsum("ij,ij->i", block[q], points[p])
             good = s >= floor
             q, p, s = q[good], p[good], s[good]
@@ -139,8 +129,6 @@ def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, sam
             stay = ~done[active]
             if not stay.any():
                 break
-            shape = (arrays.m, len(active))
-            inner_lo, inner_hi = (x.reshape(shape)[:, stay].ravel() for x in (lo, hi))
             active = active[stay]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
