@@ -27,11 +27,12 @@ from corpusloom.llm.text_stats import FEATURES, text_statistics
 from corpusloom.session import materialize
 
 CLASSES = ("prose", "list", "table", "junk")
-COMPONENTS = 24
+COMPONENTS = 64
 LABELS_PER_COMPONENT = 4
 MAX_LABELLED = 50_000
 MAX_WORDS = 100_000
-STEPS = 40
+STEPS = 12
+SEED_STEPS = 40
 RIDGE = 0.02
 CLIP = 6.0
 TREE = 16
@@ -75,46 +76,69 @@ class Mixture:
     def standardise(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -CLIP, CLIP)
 
-    def responsibilities(self, z: np.ndarray) -> tuple[np.ndarray, float]:
-        """Posterior of each component for each row, and the rows' total log-likelihood."""
-        logs = np.empty((len(z), len(self.weights)))
+    def theta(self) -> np.ndarray:
+        """Coefficients of each component's log density over the terms of ``_terms``."""
+        out = np.empty((_WIDTH, len(self.weights)))
         for k, (w, c, s) in enumerate(zip(self.weights, self.centres, self.covariances)):
-            root = np.linalg.cholesky(s)
-            y = (z - c) @ np.linalg.inv(root).T
-            logs[:, k] = np.log(w) - 0.5 * np.einsum("ij,ij->i", y, y) - np.log(np.diag(root)).sum()
-        top = logs.max(axis=1, keepdims=True)
-        r = np.exp(logs - top)
-        total = r.sum(axis=1, keepdims=True)
-        return r / total, float((np.log(total) + top).sum())
+            precision = np.linalg.inv(s)
+            out[0, k] = np.log(w) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * c @ precision @ c
+            out[1 : 1 + _D, k] = precision @ c
+            out[1 + _D :, k] = np.where(_UPPER[0] == _UPPER[1], -0.5, -1.0) * precision[_UPPER]
+        return out
+
+    def responsibilities(self, z: np.ndarray) -> np.ndarray:
+        """Posterior of each component for each row."""
+        return _posterior(_terms(z), self.theta())[0]
 
     def class_shares(self, x: np.ndarray) -> np.ndarray:
-        return self.responsibilities(self.standardise(x))[0] @ self.shares
+        return self.responsibilities(self.standardise(x)) @ self.shares
 
 
 def _figures(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES])
 
 
-def _sums(figures: DataFrame, model: Mixture, many: bool) -> tuple[np.ndarray, float]:
-    """Summed over all rows, for each component: responsibility, responsibility * z, responsibility * z z' (upper part); and the log-likelihood."""
-    d = len(FEATURES)
-    upper = np.triu_indices(d)
-    width = 1 + d + len(upper[0])
-    size = len(model.weights) * width + 1
+_D = len(FEATURES)
+_UPPER = np.triu_indices(_D)
+_WIDTH = 1 + _D + len(_UPPER[0])
+CHUNK = 4096
+
+
+def _terms(z: np.ndarray) -> np.ndarray:
+    """1, z and the products of z: densities and the sums of a step are both linear in these."""
+    return np.concatenate([np.ones((len(z), 1)), z, z[:, _UPPER[0]] * z[:, _UPPER[1]]], axis=1)
+
+
+def _posterior(terms: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, float]:
+    """Posterior of each component for each row, and the rows' total log-likelihood."""
+    logs = terms @ theta
+    top = logs.max(axis=1, keepdims=True)
+    r = np.exp(logs - top)
+    total = r.sum(axis=1, keepdims=True)
+    return r / total, float((np.log(total) + top).sum())
+
+
+def _step_sums(z: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """For each component the responsibility-weighted sums of the terms, then the log-likelihood, in one flat array."""
+    sums, log = np.zeros((theta.shape[1], _WIDTH)), 0.0
+    for at in range(0, len(z), CHUNK):
+        terms = _terms(z[at : at + CHUNK])
+        r, part = _posterior(terms, theta)
+        sums += r.T @ terms
+        log += part
+    return np.r_[sums.ravel(), log]
+
+
+def _distributed_sums(figures: DataFrame, model: Mixture, many: bool) -> np.ndarray:
+    """``_step_sums`` over all rows: one block of sums a task, summed in a second level where there are many tasks."""
+    theta = model.theta()
+    size = theta.shape[1] * _WIDTH + 1
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(size)
-        rows = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 8192):
-                z = model.standardise(_figures(batch.slice(at, 8192)))
-                r, log = model.responsibilities(z)
-                products = (z[:, :, None] * z[:, None, :])[:, upper[0], upper[1]]
-                out[:-1] += np.concatenate([r.sum(axis=0)[:, None], r.T @ z, r.T @ products], axis=1).ravel()
-                out[-1] += log
-                rows += len(z)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+            out += _step_sums(model.standardise(_figures(batch)), theta)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(size)
@@ -129,7 +153,20 @@ def _sums(figures: DataFrame, model: Mixture, many: bool) -> tuple[np.ndarray, f
     out = np.zeros(size)
     for row in level.collect():  # one block of sums a task, few by the branch above
         out += np.frombuffer(bytes(row[0]))
-    return out[:-1].reshape(len(model.weights), width), float(out[-1])
+    return out
+
+
+def _next(model: Mixture, sums: np.ndarray, least: float) -> Mixture:
+    """The mixture of largest likelihood given a step's sums. A component of fewer than ``least`` rows is given up, but never the largest."""
+    sums = sums[:-1].reshape(-1, _WIDTH)
+    sums = sums[sums[:, 0] >= min(least, sums[:, 0].max())]
+    n = sums[:, 0]
+    centres = sums[:, 1 : 1 + _D] / n[:, None]
+    covariances = np.zeros((len(n), _D, _D))
+    covariances[:, _UPPER[0], _UPPER[1]] = covariances[:, _UPPER[1], _UPPER[0]] = sums[:, 1 + _D :] / n[:, None]
+    covariances -= centres[:, :, None] * centres[:, None, :]
+    covariances += RIDGE * np.eye(_D)
+    return Mixture(model.mean, model.scale, n / n.sum(), centres, covariances, np.zeros((len(n), len(CLASSES))))
 
 
 def _seeds(z: np.ndarray, k: int) -> np.ndarray:
@@ -162,28 +199,18 @@ def fit_mixture(figures: DataFrame, labels: DataFrame, components: int = COMPONE
     centres = _seeds(z, k)
     k = len(centres)
     model = Mixture(mean, scale, np.full(k, 1 / k), centres, np.stack([np.eye(d)] * k), np.zeros((k, len(CLASSES))))
-    upper = np.triu_indices(d)
+    for _ in range(SEED_STEPS):  # on the labelled rows alone: only where the fit to all rows begins
+        model = _next(model, _step_sums(z, model.theta()), min(_D, len(z) / (2 * k)))
     before = -np.inf
     many = len(present.inputFiles()) > 4 * TREE
     for _ in range(steps):
-        sums, log = _sums(present, model, many)
-        n = sums[:, 0]
-        alive = n > d  # a component of fewer rows than dimensions is given up
-        n, first, second = n[alive], sums[alive, 1 : 1 + d], sums[alive, 1 + d :]
-        centres = first / n[:, None]
-        covariances = np.zeros((len(n), d, d))
-        covariances[:, upper[0], upper[1]] = second / n[:, None]
-        covariances[:, upper[1], upper[0]] = second / n[:, None]
-        covariances -= centres[:, :, None] * centres[:, None, :]
-        covariances += RIDGE * np.eye(d)
-        if not len(n):
-            break
-        model = Mixture(mean, scale, n / n.sum(), centres, covariances, np.zeros((len(n), len(CLASSES))))
-        rows_seen = float(n.sum())
-        if log - before < 1e-4 * rows_seen:
+        sums = _distributed_sums(present, model, many)
+        model = _next(model, sums, _D)
+        rows_seen = float(sums[:-1].reshape(-1, _WIDTH)[:, 0].sum())
+        if sums[-1] - before < 1e-3 * rows_seen:
             break
-        before = log
-    r, _ = model.responsibilities(z)
+        before = sums[-1]
+    r = model.responsibilities(z)
     votes = np.stack([r[tags == c].sum(axis=0) for c in range(len(CLASSES))], axis=1)
     overall = np.bincount(tags, minlength=len(CLASSES)) / len(tags)
     shares = (votes + 0.5 * overall) / (votes.sum(axis=1, keepdims=True) + 0.5)

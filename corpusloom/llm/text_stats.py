@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 
@@ -24,17 +25,51 @@ FEATURES = (
     "repeated_segments",
     "log_line_length",
     "item_lines",
-    "common_gaps",
+    "long_lines",
 )
 
-_SEGMENT = re.compile(r"[\n\t|;,•*>(){}\[\]=<\"#_/~—–:]+|[.!?。！？…、]+(?=\s|$|[^\x00-\x7f])| [-+] ")
+_SEGMENT = re.compile(r"[\n\t|;,•*>(){}\[\]=<\"#_/~—–:]+| {3,}|[.!?。！？…、]+(?=\s|$|[^\x00-\x7f])| [-+] ")
 _END = re.compile(r"[.!?。！？](?=[\s\"'”’)»]|$|[^\x00-\x7f])")
 _ITEM = re.compile(r"\s*(?:[-*•+>]\s|\(?[0-9a-z]{1,3}[.)]\s|[\w ]+\s[|=:]\s)")
 _LINE_END = tuple(".!?。！？:;\"”’)")
+_CELL = re.compile(r"[\n\t|]+| {3,}")
 _VOWELS = frozenset("aeiouyäöüáàâéèêëíìîïóòôúùûœæ")
 _PLAIN = frozenset(" \t\r\n.,;:!?'\"’“”()-。、！？「」…")
 
 
+_KINDS = ("alpha", "digit", "space", "upper", "symbol", "hiragana", "unspaced", "latin", "vowel")
+
+
+@lru_cache
+def _kinds_table() -> tuple[np.ndarray, np.ndarray]:
+    """Of each character below U+10000 the number of its combination of kinds, and which kinds a combination has."""
+    combinations: dict[tuple[bool, ...], int] = {}
+    table = np.zeros(1 << 16, np.uint8)
+    for code in range(1 << 16):
+        c = chr(code)
+        alpha, space = c.isalpha(), c.isspace()
+        key = (
+            alpha,
+            c.isdigit(),
+            space,
+            c.isupper(),
+            not c.isalnum() and not space and c not in _PLAIN,
+            "\u3041" <= c <= "\u309f",
+            "\u3040" <= c <= "\u30ff" or "\u4e00" <= c <= "\u9fff",
+            alpha and code < 0x250,
+            c.lower() in _VOWELS,
+        )
+        table[code] = combinations.setdefault(key, len(combinations))
+    return table, np.array(list(combinations), dtype=np.int64)
+
+
+def _count_kinds(text: str) -> dict[str, int]:
+    """How many characters of each kind; characters beyond the basic plane count as U+FFFF does, as symbols."""
+    table, has = _kinds_table()
+    codes = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 0xFFFF)
+    return dict(zip(_KINDS, (np.bincount(table[codes], minlength=len(has)) @ has).tolist()))
+
+
 def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float]:
     """The figures named in FEATURES. ``common`` holds one set of frequent words a language; the language of best fit counts.
 
@@ -44,17 +79,10 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
     stripped = text.strip()
     if not stripped:
         return [0.0] * len(FEATURES)
-    chars = Counter(text)
-    letters = sum(c for k, c in chars.items() if k.isalpha())
-    digits = sum(c for k, c in chars.items() if k.isdigit())
-    spaces = sum(c for k, c in chars.items() if k.isspace())
-    visible = max(n - spaces, 1)
-    symbols = sum(c for k, c in chars.items() if not k.isalnum() and k not in _PLAIN and not k.isspace())
-    upper = sum(c for k, c in chars.items() if k.isupper())
-    hiragana = sum(c for k, c in chars.items() if "ぁ" <= k <= "ゟ")
-    unspaced = sum(c for k, c in chars.items() if "぀" <= k <= "ヿ" or "一" <= k <= "鿿")
-    latin = sum(c for k, c in chars.items() if k.isalpha() and k < "ɐ")
-    vowels = sum(c for k, c in chars.items() if k.lower() in _VOWELS)
+    kinds = _count_kinds(text)
+    letters, digits, upper, symbols = kinds["alpha"], kinds["digit"], kinds["upper"], kinds["symbol"]
+    hiragana, unspaced, latin, vowels = kinds["hiragana"], kinds["unspaced"], kinds["latin"], kinds["vowel"]
+    visible = max(n - kinds["space"], 1)
     eastern = unspaced > 0.3 * visible
 
     # segments between separators, and their words
@@ -84,7 +112,6 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
     # segments of several words with enough common ones run on as language does
     running = total = repeated = 0
     seen: set[str] = set()
-    gaps = 0
     for part, ws in zip(parts, split):
         size = len(part)
         total += size
@@ -93,15 +120,12 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
         else:
             seen.add(part)
         if eastern:
-            if size >= 6 and sum("ぁ" <= c <= "ゟ" for c in part) >= 0.2 * size:
-                running += size
-        elif len(ws) >= 4:
-            hits = [i for i, w in enumerate(ws) if w in best]
-            if len(hits) >= 0.2 * len(ws):
+            if size >= 6 and sum("\u3041" <= c <= "\u309f" for c in part) >= 0.2 * size:
                 running += size
-            gaps += _longest_gap(hits, len(ws)) * size
-        else:
-            gaps += len(ws) * size
+        elif len(ws) >= 4 and sum(w in best for w in ws) >= 0.2 * len(ws):
+            running += size
+    cells = _CELL.split(stripped)
+    wide = sum(len(x) for x in cells if (len(x) >= 24 if eastern else x.count(" ") >= 9))
     raw = text.encode("utf-8", "surrogatepass")
     return [
         float(np.log1p(word_count)),
@@ -119,14 +143,5 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
         repeated / max(total, 1),
         float(np.log1p(n / max(len(lines), 1))),
         items,
-        min(gaps / max(total, 1), 30.0) if not eastern else 3.0,
+        wide / max(sum(map(len, cells)), 1),
     ]
-
-
-def _longest_gap(hits: list[int], n: int) -> int:
-    """The longest run of words without a common one."""
-    edge, longest = -1, 0
-    for i in (*hits, n):
-        longest = max(longest, i - edge - 1)
-        edge = i
-    return longest
