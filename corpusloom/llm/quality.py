@@ -29,6 +29,7 @@ from corpusloom.session import materialize
 CLASSES = ("prose", "list", "table", "junk")
 COMPONENTS = 64
 LABELS_PER_COMPONENT = 4
+ROWS_PER_DIMENSION = 3  # a component has at least so many rows on average
 MAX_LABELLED = 50_000
 MAX_WORDS = 100_000
 STEPS = 12
@@ -188,14 +189,14 @@ def fit_mixture(figures: DataFrame, labels: DataFrame, components: int = COMPONE
     rows = present.join(known, "key").select("label", *FEATURES).limit(max_labelled).collect()
     if not rows:
         return None
-    moments = present.agg(*[F.avg(f) for f in FEATURES], *[F.stddev_pop(f) for f in FEATURES]).first()
+    moments = present.agg(*[F.avg(f) for f in FEATURES], *[F.stddev_pop(f) for f in FEATURES], F.count(F.lit(1))).first()
     mean = np.array(moments[:d])
-    scale = np.maximum(np.array(moments[d:]), 1e-6)
+    scale = np.maximum(np.array(moments[d : 2 * d]), 1e-6)
     x = np.array([r[1:] for r in rows], dtype=float)
     order = np.lexsort(x.T)  # the order of collected rows is not fixed
     x, tags = x[order], np.array([CLASSES.index(r[0]) for r in rows])[order]
     z = np.clip((x - mean) / scale, -CLIP, CLIP)
-    k = max(1, min(components, len(z) // LABELS_PER_COMPONENT))
+    k = max(1, min(components, len(z) // LABELS_PER_COMPONENT, moments[2 * d] // (ROWS_PER_DIMENSION * d)))
     centres = _seeds(z, k)
     k = len(centres)
     model = Mixture(mean, scale, np.full(k, 1 / k), centres, np.stack([np.eye(d)] * k), np.zeros((k, len(CLASSES))))
