@@ -38,7 +38,35 @@ def p5_node_counts(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_claimed_deliveries, p5_found, p5_node_counts)}
 
+#: The text of a stored record with any wrapping JSON strings opened.
+_OPENED = """
+    WITH RECURSIVE o AS (
+        SELECT id, TRY_CAST(raw_json AS JSON) AS j, 0 AS n FROM pages
+        UNION ALL SELECT id, TRY_CAST(json_extract_string(j, '$') AS JSON), n + 1 FROM o WHERE json_type(j) = 'VARCHAR'),"""
+
+_NODES = (
+    _OPENED
+    + """
+        root AS (SELECT id, j FROM o WHERE json_type(j) = 'OBJECT'),
+        node AS (
+            SELECT id, j, CAST(NULL AS VARCHAR) AS path, '' AS above, CAST(0 AS INTEGER) AS depth FROM root
+            UNION ALL
+            SELECT n.id, e.value, CASE WHEN n.path IS NULL THEN CAST(e.key AS VARCHAR) ELSE n.path || '/' || CAST(e.key AS VARCHAR) END,
+                CASE WHEN json_type(n.j) = 'OBJECT' THEN coalesce(n.path, '') ELSE n.above END, n.depth + 1
+            FROM node n, json_each(n.j) e WHERE json_type(e.value) IN ('OBJECT', 'ARRAY'))"""
+)
+
 SQL = {
+    # a JSON value is told by its leaves: path, type and text, in order of path
+    "p1_found": """
+        WITH d AS (SELECT feed_seq, id, coalesce(updated_at, loaded_at) AS clock, loaded_at, TRY_CAST(raw_json AS JSON) AS j FROM page_feed),
+        v AS (SELECT d.feed_seq, d.id, d.clock, d.loaded_at, string_agg(t.fullkey || '|' || t.type || '|' || CASE WHEN t.type IN ('OBJECT', 'ARRAY') THEN '' ELSE coalesce(json_extract_string(t.value, '$'), '') END, chr(1) ORDER BY t.fullkey) AS body
+            FROM d, json_tree(d.j) t WHERE json_type(d.j) = 'OBJECT' GROUP BY ALL),
+        r AS (SELECT run_id, cutoff_at, row_number() OVER (ORDER BY cutoff_at, run_id) AS k FROM collect_runs WHERE status = 'succeeded'),
+        f AS (SELECT r.k, r.run_id, v.id, v.body, row_number() OVER (PARTITION BY r.k, v.id ORDER BY v.clock DESC, v.feed_seq DESC) AS n FROM r JOIN v ON v.loaded_at <= r.cutoff_at)
+        SELECT a.run_id, a.id FROM f a LEFT JOIN f b ON b.k = a.k - 1 AND b.id = a.id AND b.n = 1 WHERE a.n = 1 AND (b.id IS NULL OR a.body <> b.body)""",
+    "p5_found": _NODES + " SELECT id AS page_id, path AS node_path, above AS parent_path FROM node WHERE path IS NOT NULL AND json_type(j) = 'OBJECT'",
+    "p5_node_counts": _NODES + """ SELECT lower(json_type(j)) AS node_kind, depth, CAST(count(*) AS BIGINT) AS nodes, CAST(count(DISTINCT id) AS BIGINT) AS pages FROM node WHERE path IS NOT NULL GROUP BY 1, 2""",
     # no JSON digest is needed to see which run takes a delivery
     "p1_claimed_deliveries": """
         WITH ok AS (SELECT run_id, cutoff_at, row_number() OVER (ORDER BY cutoff_at, run_id) AS ord FROM collect_runs WHERE status = 'succeeded'),
