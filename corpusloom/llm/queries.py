@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.knn import KnnRule, most_similar, similar_pairs
 from corpusloom.llm.mixing import Mix, mix_sources
 from corpusloom.llm.neardup import NearDupRule, NearDups, near_duplicates
+from corpusloom.llm.oracles import SQL
 from corpusloom.llm.packing import Packing, fill_containers
 from corpusloom.llm.quality import text_quality
 from corpusloom.llm.splitting import split_texts
@@ -109,4 +110,5 @@ def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p7_found, p7_shares, p7_copies, p8_found, p8_statistics)}
-SQL: dict[str, str] = {}
+
+__all__ = ["QUERIES", "SQL"]
