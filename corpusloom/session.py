@@ -69,8 +69,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
 
 
-def partitions_for(spark: SparkSession, default: int = 32) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", str(default)))
+def release(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables once everything that reads them has been written."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            drop_path(df.sparkSession, path)
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int, most: int = 100_000) -> int:
+    """How many tasks a stage of costly rows should have: no fewer than the session's shuffle partitions, for an even load."""
+    return min(most, max(int(spark.conf.get("spark.sql.shuffle.partitions", "32")), -(-rows // rows_per_task)))
