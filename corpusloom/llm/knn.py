@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import whole_groups
 from corpusloom.llm.shingles import mix64
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release, tasks_for
 
 HOT = 4096
 CELL_ROWS = 1024  # aim for cells of about this many classes
 BROADCAST_CELLS = 500_000
+TASK_ROWS = 25_000  # routed rows a task
 MARGIN = 0.008  # of similarity, for the rounding to one byte
 SEED = 20240517
 
@@ -56,6 +57,10 @@ class KnnRule:
         last = math.sqrt(2 - 2 * self.min_similarity)
         return (*[r for r in self.radii if r < last], last)
 
+    def table_count(self, levels: int) -> int:
+        """With more levels a cell needs all of them to agree, hence more tables."""
+        return math.ceil(self.tables * 2.5 ** (levels - 1))
+
 
 @lru_cache
 def _rotations(dim: int, count: int) -> np.ndarray:
@@ -200,8 +205,8 @@ def _levels(classes: int, dim: int) -> int:
 
 
 def route(classes: DataFrame, rule: KnnRule, levels: int) -> DataFrame:
-    """(cell, c1, c2, q8): every class once for each table. With more levels a cell needs all of them to agree, hence more tables."""
-    tables = rule.tables if levels == 1 else math.ceil(rule.tables * 2.5 ** (levels - 1))
+    """(cell, c1, c2, q8): every class once for each table."""
+    tables = rule.table_count(levels)
     width = 2 * rule.dim
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,9 +239,9 @@ def _spread(routed: DataFrame) -> DataFrame:
     return wide.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c1", "c2", "q8")
 
 
-def cell_neighbours(tasks: DataFrame, rule: KnnRule) -> DataFrame:
+def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
     """Distinct (a1, a2, b1, b2): b is among the best of a in some cell."""
-    placed = tasks.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    placed = tasks.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
     def group(table: pa.Table) -> Iterator[pa.RecordBatch]:
         cell, i, j, block = (table.column(k).to_numpy() for k in range(4))
@@ -291,9 +296,12 @@ def most_similar(rows: DataFrame, key: str = "id", vector: str = "embedding", ru
     members = base.select("id", "c1", "c2").distinct()
     classes = base.groupBy("c1", "c2").agg(F.first("q8").alias("q8"), F.first("vec").alias("vec"))
     count = base.select("c1", "c2").distinct().count()
-    routed = route(classes.select("c1", "c2", "q8"), rule, _levels(count, rule.dim))
-    pairs = materialize(cell_neighbours(_spread(routed), rule), "vector-pairs")
+    levels = _levels(count, rule.dim)
+    routed = route(classes.select("c1", "c2", "q8"), rule, levels)
+    parts = tasks_for(rows.sparkSession, count * rule.table_count(levels), TASK_ROWS)
+    pairs = materialize(cell_neighbours(_spread(routed), rule, parts), "vector-pairs")
     links = materialize(_verified(pairs, classes, rule), "vector-links")
+    release(pairs)
 
     # the first ids of each class stand for it: no row needs more than k + 1 of them
     w = Window.partitionBy("c1", "c2").orderBy("id")

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 MAX_SOURCES = 10_000
 BUCKETS = 4096
@@ -125,6 +125,7 @@ def mix_sources(sized: DataFrame, targets: DataFrame) -> Mix:
     copies = F.when(full, F.col("rate")).otherwise(F.least(F.greatest(moved, F.lit(0)), ceiling)).cast("int")
     result = materialize(rated.select("key", "source", "tokens", "rate", copies.alias("copies")), "mix-copies")
 
+    release(part, histogram)
     used = result.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"))
     plan = spark.createDataFrame([(s, share[s], int(cap[s]), goal[s], s in short) for s in share], "source string, target_share double, max_repeats int, target_tokens double, falls_short boolean")
     all_used = float(used.agg(F.sum("used_tokens")).first()[0] or 0)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.hamming_trie import BITS, trie_self_join
 from corpusloom.llm.shingles import hash_words, mix64, sequence_hash, shingle
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 HOT = 2048  # classes in one trie task
 SCAN_CHARS = 1 << 20
@@ -289,4 +289,6 @@ def near_duplicates(records: DataFrame, rule: NearDupRule = NearDupRule()) -> Ne
     common = F.size(F.array_intersect("ga", "gb"))
     similarity = common / (F.size("ga") + F.size("gb") - common)
     checked = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a1", "a2", "b1", "b2", similarity.alias("similarity"))
-    return NearDups(members, materialize(checked.where(F.col("similarity") >= rule.threshold), "links"))
+    links = materialize(checked.where(F.col("similarity") >= rule.threshold), "links")
+    release(pairs, wanted, sets)
+    return NearDups(members, links)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 PART_ITEMS = 20_000
 ROUNDS = 3
@@ -141,8 +141,11 @@ def fill_containers(sizes: DataFrame, capacity: int) -> Packing:
         pool = packed.where(pooled).select("key", "part", "size")
         again = materialize(_pack(_grouped(pool, before[1], k), capacity, str(k)), f"packed-{k}")
         if again.select("round", "grp", "box").distinct().count() >= before[2]:
+            release(again)
             break
-        packed = materialize(packed.where(~pooled).unionByName(again), f"merged-{k}")
+        merged = materialize(packed.where(~pooled).unionByName(again), f"merged-{k}")
+        release(packed, again)
+        packed = merged
     histogram = np.zeros(capacity + 1, np.int64)
     for row in items.groupBy("size").count().collect():  # at most capacity + 1 rows
         histogram[row[0]] = row[1]
