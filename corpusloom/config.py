@@ -17,8 +17,8 @@ class PipelineConfig:
     api_default: str = "https://developer.pomology.example/tutorials/data"
     api_alternate: str = "https://swift.pomology.example/data/documentation"
     alternate_marker: str = "/documentation/docc"
-    alternate_page: str = "https://developer.pomology.example/documentation/xcode/formatting-your-documentation-content"
-    alternate_page_from: str = "/documentation/xcode"
+    alternate_page: str = "https://developer.pomology.example/documentation/toolchain/formatting-your-content"
+    alternate_page_from: str = "/documentation/toolchain"
     alternate_page_to: str = "/docc"
     batch_size: int = 30
     batch_count: int = 30

@@ -188,7 +188,7 @@ _ROUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)"
 @query(f"""WITH u AS (SELECT url FROM pages UNION ALL SELECT replace(url, '/documentation/', '/documentation/docc/') FROM pages UNION ALL SELECT '{CONFIG.alternate_page}' UNION ALL SELECT 'nothing'),
     p AS (SELECT url, regexp_replace(regexp_extract(url, '{_ROUTE}', 1), '/$', '') AS path FROM u)
     SELECT url, CASE WHEN NOT regexp_matches(url, '{_ROUTE}') THEN 'Invalid URL: ' || url
-        WHEN url = '{CONFIG.alternate_page}' THEN '{CONFIG.api_alternate}' || replace(path, '/documentation/xcode', '/docc') || '.json'
+        WHEN url = '{CONFIG.alternate_page}' THEN '{CONFIG.api_alternate}' || replace(path, '{CONFIG.alternate_page_from}', '{CONFIG.alternate_page_to}') || '.json'
         WHEN contains(url, '/documentation/docc') THEN '{CONFIG.api_alternate}' || path || '.json' ELSE '{CONFIG.api_default}' || path || '.json' END AS request_url FROM p""")
 def api_url_route(spark: SparkSession, d: str) -> DataFrame:
     own = pages(spark, d).select("url")

@@ -17,7 +17,7 @@ def one(spark, column, value=None, kind="string"):
 @pytest.mark.parametrize(
     ("url", "out"),
     [
-        (f"{O}/documentation/SwiftUI/View?language=objc#topics", f"{O}/documentation/SwiftUI/View"),
+        (f"{O}/documentation/LumenKit/View?language=objc#topics", f"{O}/documentation/LumenKit/View"),
         (f"{O}/documentation/a//", f"{O}/documentation/a"),
         ("HTTPS://User:pw@Host.Example:80/Path/", "https://host.example/Path"),
         ("not a url", "not a url"),
@@ -55,9 +55,9 @@ def test_document_urls(spark):
 
 def test_api_urls(spark):
     get = lambda u: one(spark, urls.api_url(F.col("x"), CONFIG), u)
-    assert get(f"{O}/documentation/swiftui/") == f"{CONFIG.api_default}/documentation/swiftui.json"
+    assert get(f"{O}/documentation/lumenkit/") == f"{CONFIG.api_default}/documentation/lumenkit.json"
     assert get(f"{O}/documentation/docc/x") == f"{CONFIG.api_alternate}/documentation/docc/x.json"
-    assert get(CONFIG.alternate_page) == f"{CONFIG.api_alternate}/docc/formatting-your-documentation-content.json"
+    assert get(CONFIG.alternate_page) == f"{CONFIG.api_alternate}/docc/formatting-your-content.json"
     assert get("nothing") == "Invalid URL: nothing"
 
 

@@ -25,10 +25,10 @@ def test_title_golden():
     meta = {
         "roleHeading": "Structure",
         "title": "Button",
-        "platforms": [{"name": "iOS", "introducedAt": "13.0"}, {"name": "macOS", "introducedAt": "10.15", "deprecatedAt": "12.0", "message": "Use X"}, {"name": "visionOS", "introducedAt": "1.0", "beta": True}],
+        "platforms": [{"name": "PomOS", "introducedAt": "13.0"}, {"name": "SloeOS", "introducedAt": "10.15", "deprecatedAt": "12.0", "message": "Use X"}, {"name": "CitronOS", "introducedAt": "1.0", "beta": True}],
     }
     got = R.title_of({"metadata": meta, "abstract": [{"text": "A control"}, {"code": "x"}, {"text": " that acts."}]})
-    assert got == "Structure: Button\nA control that acts.\nPlatforms: iOS 13.0+, macOS 10.15–12.0 deprecated, visionOS 1.0+ [Beta]\nDeprecation Note: Use X"
+    assert got == "Structure: Button\nA control that acts.\nPlatforms: PomOS 13.0+, SloeOS 10.15–12.0 deprecated, CitronOS 1.0+ [Beta]\nDeprecation Note: Use X"
     assert R.title_of({"metadata": {}}) is None
 
 
