@@ -39,6 +39,13 @@ def embedding_text(title: Column, content: Column) -> Column:
     return F.when(none_if_empty(title).isNotNull(), F.concat(title, F.lit("\n\n"), content)).otherwise(content)
 
 
+def shorten_message(message: str, limit: int = MESSAGE_LIMIT) -> str:
+    """``truncate_message`` for one text on the driver."""
+    room = limit - len(MESSAGE_SUFFIX)
+    head = room * 8 // 10
+    return message if len(message) <= limit else message[:head] + MESSAGE_SUFFIX + MESSAGE_GAP + message[head - room :]
+
+
 def truncate_message(c: Column, limit: int = MESSAGE_LIMIT) -> Column:
     """A message beyond the limit keeps four fifths of the room from its head and the rest from its tail."""
     room = limit - len(MESSAGE_SUFFIX)

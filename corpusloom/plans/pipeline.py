@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,18 @@ from corpusloom.session import materialize
 from corpusloom.sources.providers import Embedder, Fetcher, HashingEmbedder, MemoryNotifier, Notifier, embed
 
 SHOWN = 10
+REPORT_MINUTES = 5
+TIMED_OUT = "HTTP 524"
+
+
+def progress_due(index: int, count: int) -> bool:
+    """Whether batch ``index`` of ``count`` is logged: the first, every tenth and the last."""
+    return index == 0 or (index + 1) % 10 == 0 or index == count - 1
+
+
+def report_due(now: dt.datetime) -> bool:
+    """The report is sent once an hour, by runs that end in its first minutes."""
+    return now.minute < REPORT_MINUTES
 
 
 @dataclass
@@ -134,19 +147,35 @@ class Pipeline:
             self.store.write(pages=insert_urls(pages, urls, self.config, F.current_timestamp()), chunks=self.store.read("chunks"))
         return n
 
-    def run(self, report: bool = True) -> list[BatchResult]:
-        """All batches of a run; a failed batch is reported and the next one goes on."""
+    def discover_at(self, index_url: str) -> int:
+        """Fetch an index page and enqueue its links. A failure never stops a run: a timeout is logged, anything else alerts."""
+        try:
+            request = self.spark.createDataFrame([(index_url, index_url)], "url string, request_url string")
+            answer = self.fetcher.fetch(request).first()  # one row
+            if answer is None or answer.status is None or not 200 <= answer.status < 300:
+                raise OSError(f"index page: HTTP {answer.status if answer else None}")
+            return self.discover(self.spark.createDataFrame([(index_url, answer.body)], "url string, html string"))
+        except Exception as e:  # noqa: BLE001
+            (self.notifier.stats if TIMED_OUT in str(e) else self.notifier.alert)(f"Discovery failed: {e}")
+            return 0
+
+    def run(self, report: bool | None = True, index_url: str | None = None) -> list[BatchResult]:
+        """All batches of a run; a failed batch is reported and the next one goes on. ``report`` None leaves the report to the hour."""
         started = dt.datetime.now(dt.UTC)
-        results = []
+        results: list[BatchResult] = []
+        if index_url:
+            self.discover_at(index_url)
         for number in range(1, self.config.batch_count + 1):
             try:
                 results.append(self.run_batch())
             except Exception as e:  # noqa: BLE001
                 self.notifier.alert(f"Batch {number} failed: {e}")
                 continue
+            if progress_due(number - 1, self.config.batch_count):
+                logging.getLogger("corpusloom").info("batch %d of %d: %s", number, self.config.batch_count, results[-1])
             if results[-1].claimed == 0:
                 break
-        if report:
+        if report or (report is None and report_due(dt.datetime.now(dt.UTC))):
             stats = crawl_stats(self.store.read("pages"), self.store.read("chunks"), self.config).first().asDict()
             self.notifier.stats(report_text(stats, (dt.datetime.now(dt.UTC) - started).total_seconds(), sum(r.chunks for r in results), self.config))
         return results

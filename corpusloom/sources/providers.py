@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import shorten_message
+
 FETCHED = "url string, status int, reason string, body string"
 
 
@@ -164,7 +166,7 @@ class HttpNotifier:
     alert_address: str | None = None
     prefix: str = "[COLLECTOR] "
     timeout: float = 5.0
-    shorten: Callable[[str], str] = staticmethod(lambda m: m)
+    shorten: Callable[[str], str] = staticmethod(shorten_message)
 
     def _send(self, address: str | None, message: str) -> None:
         if not address:

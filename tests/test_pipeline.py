@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import PipelineConfig
 from corpusloom.operators import crawl_state as S
-from corpusloom.plans.pipeline import Pipeline
+from corpusloom.functions.text import shorten_message
+from corpusloom.plans.pipeline import Pipeline, progress_due, report_due
+from corpusloom.sources.jdbc import JdbcSource
 from corpusloom.sources.providers import MemoryNotifier, TableFetcher
 from corpusloom.sources.tables import SCHEMAS
 from corpusloom.streaming.feed_stream import read_feed, run_available
@@ -141,6 +143,31 @@ def test_discovery(spark, world):
     assert pipeline.discover(index) == 0
 
 
+def test_discovery_failures_do_not_stop_a_run(spark, world):
+    store, _, _ = world
+    index = f"{O}/videos/all-videos/"
+    answer = lambda status, body: TableFetcher(spark.createDataFrame([(index, status, "r", body)], "url string, status int, reason string, body string"))
+    notifier = MemoryNotifier()
+    make = lambda fetcher: Pipeline(spark, store, fetcher, CONFIG, notifier=notifier)
+    assert make(answer(200, '<a href="/videos/play/n/9">')).discover_at(index) == 1
+    assert make(answer(524, None)).discover_at(index) == 0
+    assert make(answer(500, None)).discover_at(index) == 0
+    assert make(TableFetcher(spark.createDataFrame([], "url string, status int, reason string, body string"))).discover_at(index) == 0
+    assert [kind for kind, _ in notifier.sent] == ["stats", "alert", "alert"]
+
+
+def test_log_and_report_times():
+    assert [i for i in range(25) if progress_due(i, 25)] == [0, 9, 19, 24]
+    assert [m for m in (0, 4, 5, 59) if report_due(dt.datetime(2026, 1, 1, 1, m))] == [0, 4]
+    long = shorten_message("a" * 4001)
+    assert len(long) == 4005 and long.endswith("a" * 796) and shorten_message("a" * 4000) == "a" * 4000
+
+
+def test_jdbc_options():
+    options = JdbcSource("jdbc:x:y").options()
+    assert options["url"] == "jdbc:x:y" and "user" not in options and "statement_timeout = '120s'" in options["sessionInitStatement"]
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     seen = []
     feed = spark.createDataFrame([(1, "a", "u", "{}", 1, NOW, NOW)], SCHEMAS["page_feed"])
