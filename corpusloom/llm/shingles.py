@@ -6,12 +6,15 @@ prefix sum of a polynomial over the whole buffer, shingle hashes from the word h
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
 
 _WORD = np.zeros(256, bool)
 _WORD[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
+_GAP = re.compile(rb"[^a-z0-9]")
+BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -45,11 +48,40 @@ class Words:
     offsets: np.ndarray  # of each text's first word, and the end
 
 
+def _blocks(part: bytes) -> list[bytes]:
+    """A long text cut between words into blocks of about BLOCK bytes."""
+    if len(part) <= BLOCK:
+        return [part]
+    out, at = [], 0
+    while at < len(part):
+        gap = _GAP.search(part, at + BLOCK)
+        end = gap.start() if gap else len(part)
+        out.append(part[at:end])
+        at = end
+    return out
+
+
 def hash_words(texts: list[str | None]) -> Words:
     """Hashes of the words of each text; a NULL text has none."""
-    parts = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
-    b = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    hashes, counts = [], np.zeros(len(texts), np.int64)
+    held: list[tuple[int, bytes]] = []
+    size = 0
+    for i, t in enumerate(texts):
+        for block in _blocks((t or "").lower().encode("utf-8", "surrogatepass")):
+            held.append((i, block))
+            size += len(block)
+            if size >= BLOCK:
+                hashes.append(_hash_blocks(held, counts))
+                held, size = [], 0
+    if held:
+        hashes.append(_hash_blocks(held, counts))
+    return Words(np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.r_[0, np.cumsum(counts)])
+
+
+def _hash_blocks(blocks: list[tuple[int, bytes]], counts: np.ndarray) -> np.ndarray:
+    """Hashes of all words of the blocks, in order; adds each text's number of words to ``counts``."""
+    b = np.frombuffer(b" ".join(x for _, x in blocks) + b" ", np.uint8)
+    size = np.fromiter((len(x) for _, x in blocks), np.int64, len(blocks))
     start = np.r_[0, np.cumsum(size + 1)]
     word = _WORD[b]
     edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
@@ -59,7 +91,8 @@ def hash_words(texts: list[str | None]) -> Words:
     prefix[0] = 0
     np.cumsum((b + np.uint64(1)) * power[: len(b)], dtype=np.uint64, out=prefix[1:])
     hashes = mix64((prefix[last] - prefix[first]) * inverse[first] + (last - first).astype(np.uint64))
-    return Words(hashes, np.searchsorted(first, start))
+    np.add.at(counts, [i for i, _ in blocks], np.diff(np.searchsorted(first, start)))
+    return hashes
 
 
 @dataclass

@@ -28,7 +28,7 @@ FEATURES = (
     "long_lines",
 )
 
-_SEGMENT = re.compile(r"[\n\t|;,•*>(){}\[\]=<\"#_/~—–:]+| {3,}|[.!?。！？…、]+(?=\s|$|[^\x00-\x7f])| [-+] ")
+_SEGMENT = re.compile(r"[\n\t|;,•*>(){}\[\]=<\"#_/~—–:]+| {3,}|(?<![.!?。！？…、])[.!?。！？…、]++(?=\s|$|[^\x00-\x7f])| [-+] ")
 _END = re.compile(r"[.!?。！？](?=[\s\"'”’)»]|$|[^\x00-\x7f])")
 _ITEM = re.compile(r"\s*(?:[-*•+>]\s|\(?[0-9a-z]{1,3}[.)]\s|[\w ]+\s[|=:]\s)")
 _LINE_END = tuple(".!?。！？:;\"”’)")

@@ -37,6 +37,14 @@ def test_words_and_sequences():
     assert np.diff(shingle(words, 3).offsets).tolist() == [max(0, len(r) - 2) for r in real]
 
 
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    texts = ["ab cd-ef " * 40, "x" * 300, None, "é1 " * 90]
+    whole = hash_words(texts)
+    monkeypatch.setattr("corpusloom.llm.shingles.BLOCK", 16)
+    cut = hash_words(texts)
+    assert (whole.hashes == cut.hashes).all() and (whole.offsets == cut.offsets).all()
+
+
 def brute(rows, rule):
     sets = {}
     for kind, key, text in rows:

@@ -23,7 +23,7 @@ def test_figures():
     assert figure("Same line here.\n" * 30, "repeated_segments") > 0.9
     assert figure("これは画面が表示される前に一度だけ作成されます。", "running_share") == 1
     assert text_statistics("", (EN,)) == text_statistics(" \n\t", (EN,)) == [0.0] * len(FEATURES)
-    for odd in ("\ud800", "😀" * 50, "x" * 200_000, "\x00", "a"):
+    for odd in ("\ud800", "😀" * 50, "x" * 200_000, "!" * 200_000 + "a", "a " * 100_000 + "|", " = " * 50_000, "\x00", "a"):
         values = text_statistics(odd, (EN,))
         assert len(values) == len(FEATURES) and np.isfinite(values).all()
     assert np.isfinite(text_statistics("word", ())).all()
