@@ -24,7 +24,7 @@ def claim_batch(pages: DataFrame, config: PipelineConfig) -> DataFrame:
     """
     scoped = pages.where(in_scope(F.col("url"), config))
     lowest = scoped.agg(F.min("collect_count").alias("lowest"))
-    tier = scoped.join(F.broadcast(lowest), F.col("collect_count") == F.col("lowest")).drop("lowest")  # one row
+    tier = scoped.where(F.col("collect_count") == lowest.scalar())
     claimed = tier.orderBy(_empty_first("content"), _empty_first("title"), "url").limit(config.batch_size)
     return claimed.withColumn("collect_count", (F.col("collect_count") + 1).cast("int"))
 
@@ -46,8 +46,7 @@ def lowest_positive(pages: DataFrame, config: PipelineConfig) -> DataFrame:
 def new_urls(pages: DataFrame, urls: DataFrame, config: PipelineConfig) -> DataFrame:
     """(url, collect_count) of the addresses not yet in the table, each once."""
     fresh = urls.select("url").where(F.col("url").isNotNull()).distinct().join(pages.select("url"), "url", "left_anti")
-    start = lowest_positive(pages, config).withColumn("_one", F.lit(1))
-    return fresh.withColumn("_one", F.lit(1)).join(F.broadcast(start), "_one").select("url", F.col("start_count").alias("collect_count"))  # one row
+    return fresh.select("url", lowest_positive(pages, config).scalar().alias("collect_count"))
 
 
 def insert_urls(pages: DataFrame, urls: DataFrame, config: PipelineConfig, now: Column) -> DataFrame:

@@ -26,7 +26,7 @@ def crawl_stats(pages: DataFrame, chunks: DataFrame, config: PipelineConfig) ->
         F.coalesce(F.max(scoped), F.lit(0)).alias("max_collect_count"),
     )
     pieces = chunks.where(in_scope(url, config)).agg(F.count(F.lit(1)).alias("total_chunks"))
-    both = base.withColumn("_one", F.lit(1)).join(F.broadcast(pieces.withColumn("_one", F.lit(1))), "_one").drop("_one")  # one row each
+    both = base.withColumn("total_chunks", pieces.scalar())
     total, collected = F.col("docs_total") + F.col("videos_total"), F.col("docs_collected") + F.col("videos_collected")
     return both.select(
         "*",
@@ -39,11 +39,10 @@ def crawl_stats(pages: DataFrame, chunks: DataFrame, config: PipelineConfig) ->
 
 
 def collect_distribution(pages: DataFrame, config: PipelineConfig) -> DataFrame:
-    """(collect_count, pages, percentage) in scope. Pre-aggregated: the window over the few distinct counts is all that follows."""
+    """(collect_count, pages, percentage) in scope. Pre-aggregated; the total is a scalar subquery over the few counts."""
     by_count = pages.where(in_scope(F.col("url"), config)).groupBy("collect_count").agg(F.count(F.lit(1)).alias("pages"))
-    total = by_count.agg(F.sum("pages").alias("_total")).withColumn("_one", F.lit(1))
-    joined = by_count.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")  # one row
-    return joined.select("collect_count", "pages", percentage(F.col("pages"), F.col("_total")).alias("percentage"))
+    total = by_count.agg(F.sum("pages").alias("total"))
+    return by_count.withColumn("_total", total.scalar()).select("collect_count", "pages", percentage(F.col("pages"), F.col("_total")).alias("percentage"))
 
 
 def duration_text(seconds: float) -> str:

@@ -89,7 +89,7 @@ def change_digest(plan: DataFrame) -> DataFrame:
     real = plan.where((F.col("status") == "changed") & ~F.col("content").eqNullSafe(F.lit("")))
     top = real.orderBy("url").limit(SHOWN).agg(F.array_join(F.sort_array(F.collect_list("url")), "\n").alias("shown"))  # at most SHOWN rows
     total = real.agg(F.count(F.lit(1)).alias("n"))
-    both = top.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
+    both = top.withColumn("n", total.scalar())
     rest = F.when(F.col("n") > SHOWN, F.concat(F.lit("\n...and "), (F.col("n") - SHOWN).cast("string"), F.lit(" more"))).otherwise(F.lit(""))
     return both.where("n > 0").select(F.concat(F.lit("📝 Content Updated: "), F.col("n").cast("string"), F.lit(" URLs\n\n"), F.col("shown"), rest).alias("message"))
 
