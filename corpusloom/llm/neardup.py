@@ -277,6 +277,7 @@ def _copies(members: DataFrame, block: int = 1000) -> DataFrame:
 
 def near_duplicates(records: DataFrame, rule: NearDupRule = NearDupRule()) -> NearDups:
     """Classes and links of all texts in ``records`` (record_kind, id, text) whose shingle sets share ``threshold`` of their union."""
+    records = records.select("record_kind", "id", "text")
     base = materialize(sketches(records, rule), "sketches")
     members = base.select("record_kind", "id", "c1", "c2").distinct()
     classes = base.groupBy("c1", "c2").agg(F.first("keys").alias("keys"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))

@@ -73,7 +73,7 @@ def corpus(seed=0, families=25):
 
 def test_pairs_equal_brute_force(spark):
     rows = corpus()
-    df = spark.createDataFrame([(*r, 1) for r in rows], "record_kind string, id string, text string, keys int")
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "record_kind string, id string, text string, keys int, c1 string, s1 int")
     dups = N.near_duplicates(df, RULE)
     got = [tuple(r) for r in dups.pairs().collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows, RULE)
