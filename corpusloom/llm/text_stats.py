@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -28,11 +29,12 @@ FEATURES = (
     "long_lines",
 )
 
-_SEGMENT = re.compile(r"[\n\t|;,•*>(){}\[\]=<\"#_/~—–:]+| {3,}|(?<![.!?。！？…、])[.!?。！？…、]++(?=\s|$|[^\x00-\x7f])| [-+] ")
+_SEGMENT = re.compile(r"[\n\t|;,•*>(){}\[\]=<\"#_/~—–:]+|[.!?。！？…、]{1,8}+(?=\s|$|[^\x00-\x7f])| (?: {2,}|[-+] )")
 _END = re.compile(r"[.!?。！？](?=[\s\"'”’)»]|$|[^\x00-\x7f])")
 _ITEM = re.compile(r"\s*(?:[-*•+>]\s|\(?[0-9a-z]{1,3}[.)]\s|[\w ]+\s[|=:]\s)")
 _LINE_END = tuple(".!?。！？:;\"”’)")
-_CELL = re.compile(r"[\n\t|]+| {3,}")
+_WIDE_GAP = re.compile(" {3,}")
+_CELLS = str.maketrans("\t|", "\n\n")
 _VOWELS = frozenset("aeiouyäöüáàâéèêëíìîïóòôúùûœæ")
 _PLAIN = frozenset(" \t\r\n.,;:!?'\"’“”()-。、！？「」…")
 
@@ -88,9 +90,7 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
     # segments between separators, and their words
     parts = [x for x in (y.strip() for y in _SEGMENT.split(text.lower()) if y) if x]
     split = [x.split() for x in parts]
-    tally: Counter[str] = Counter()
-    for ws in split:
-        tally.update(ws)
+    tally = Counter(chain.from_iterable(split))
     words = sum(tally.values())
     count = max(words, 1)
     if eastern:
@@ -99,8 +99,9 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
         word_count = max(words, unspaced // 2)
         mean_length = min(2.0 + 3 * (1 - hiragana / max(unspaced, 1)), 8.0)
     else:
-        best = max(common, key=lambda c: sum(tally[w] for w in c), default=frozenset())
-        share = sum(tally[w] for w in best) / count
+        hits = [sum(filter(None, map(tally.get, c))) for c in common] or [0]
+        best = common[hits.index(max(hits))] if common else frozenset()
+        share = max(hits) / count
         word_count = words
         mean_length = min(sum(len(w) * c for w, c in tally.items()) / count, 40.0)
 
@@ -122,9 +123,10 @@ def text_statistics(text: str, common: tuple[frozenset[str], ...]) -> list[float
         if eastern:
             if size >= 6 and sum("\u3041" <= c <= "\u309f" for c in part) >= 0.2 * size:
                 running += size
-        elif len(ws) >= 4 and sum(w in best for w in ws) >= 0.2 * len(ws):
+        elif len(ws) >= 4 and sum(map(best.__contains__, ws)) >= 0.2 * len(ws):
             running += size
-    cells = _CELL.split(stripped)
+    gapless = _WIDE_GAP.sub("\n", stripped) if "   " in stripped else stripped
+    cells = gapless.translate(_CELLS).split("\n") if "\t" in gapless or "|" in gapless else gapless.split("\n")
     wide = sum(len(x) for x in cells if (len(x) >= 24 if eastern else x.count(" ") >= 9))
     raw = text.encode("utf-8", "surrogatepass")
     return [
