@@ -10,10 +10,12 @@
 4. The survivors are verified again on the full-precision vectors and cut to the k best.
 
 The routed rows carry one byte a dimension. A cell of more than ``HOT`` classes is cut into blocks whose pairs are separate
-tasks: nothing is dropped and no task holds an unbounded cell. Every row keeps at most k + 2 partners a table.
+tasks: nothing is dropped and no task holds an unbounded cell. Rounding moves a vector by an angle that its bytes bound, so a
+query keeps every partner that may still be among its k + 2 best in the cell. Where these are more than ``WIDE`` (near-copies),
+its task is ranked once more on the full-precision vectors of these classes, and k + 2 partners of each query are left.
 
 Defined results: NULL, empty and all-zero vectors, vectors of another length and vectors with a NULL or non-finite value take no part, nor do rows
-with a NULL id; among equal similarities the smaller id comes first; a repeated id counts once; extra columns are ignored;
+with a NULL id; among similarities equal to ``DIGITS`` decimals the smaller id comes first; a repeated id counts once; extra columns are ignored;
 an empty table gives no rows.
 """
 
@@ -37,7 +39,10 @@ HOT = 4096
 CELL_ROWS = 1024  # aim for cells of about this many classes
 BROADCAST_CELLS = 500_000
 TASK_ROWS = 25_000  # routed rows a task
-MARGIN = 0.008  # of similarity, for the rounding to one byte
+NOISE = 1e-5  # of similarity, above what float32 sums can be off
+WIDE = 32  # partners that the bytes may leave open before a query is ranked on full-precision vectors
+EXACT_ROWS = 8192  # rows of dense cells a task
+DIGITS = 9  # decimals of similarity that count for the rank
 SEED = 20240517
 
 
@@ -102,18 +107,45 @@ class SortedProjections:
         return counts
 
 
-def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, point, similarity) of verified points of at least the rule's similarity, near the k best of each query."""
+def _slack(q8: np.ndarray) -> np.ndarray:
+    """The angle by which rounding may have moved each vector: every value by half a step at most."""
+    x = q8.astype(np.float64)
+    reach = math.sqrt(x.shape[1]) / 2 + 1e-6
+    return np.arcsin(np.minimum(1, reach / np.sqrt(np.einsum("ij,ij->i", x, x))))
+
+
+def _bounds(s: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the greatest similarity of the full-precision vectors whose rounded ones have similarity ``s``."""
+    wide = np.arccos(np.clip(s.astype(np.float64) - NOISE, -1, 1)) + slack
+    near = np.arccos(np.clip(s.astype(np.float64) + NOISE, -1, 1)) - slack
+    return np.cos(np.minimum(wide, math.pi)), np.cos(np.maximum(near, 0))
+
+
+def _ranks(q: np.ndarray) -> np.ndarray:
+    """Position of each element within its run of equal values; ``q`` is sorted."""
+    head = np.r_[True, q[1:] != q[:-1]]
+    return np.arange(len(q)) - np.maximum.accumulate(np.where(head, np.arange(len(q)), 0))
+
+
+def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, same: bool, slack: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, open queries, open points): pairs that may have the rule's similarity and be among the k + 2 best of the query.
+
+    ``slack`` holds the angles by which the queries and the points may be off. A query with more than ``WIDE`` such points
+    is marked open, as are its points, and has no pairs.
+    """
     directions = _directions(rule.dim, rule.projections)
     arrays = SortedProjections(points, directions)
     n = len(points)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    open_queries, open_points = np.zeros(len(queries), bool), np.zeros(n, bool)
     step = max(8, (1 << 17) // max(n, 1))
-    floor = rule.min_similarity - MARGIN
+    widest = slack[0].max() + slack[1].max()
+    floor = math.cos(min(math.acos(rule.min_similarity) + widest, math.pi)) - NOISE
     for at in range(0, len(queries), step):
         block = queries[at : at + step]
         h = np.ascontiguousarray((block @ directions).T)
         active = np.arange(len(block))
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for radius in rule.schedule:
             counts = arrays.collisions(h[:, active], rule.half_width * radius)
             q, p = np.nonzero(counts >= rule.collisions)
@@ -125,25 +157,59 @@ def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, sam
             s = np.einsum("ij,ij->i", block[q], points[p])
             good = s >= floor
             q, p, s = q[good], p[good], s[good]
-            within = s >= 1 - radius * radius / 2
-            near = np.bincount(q[within], minlength=len(block))
+            low, high = _bounds(s, slack[0][q + at] + slack[1][p])
+            good = high >= rule.min_similarity
+            q, p, low, high = q[good], p[good], low[good], high[good]
+            near = np.bincount(q[low >= 1 - radius * radius / 2], minlength=len(block))
             done = live & ((near >= rule.k) | (radius == rule.schedule[-1]))
             out = done[q]
             if out.any():
-                found.append((q[out] + at, p[out], s[out]))
+                kept.append((q[out], p[out], low[out], high[out]))
             stay = ~done[active]
             if not stay.any():
                 break
             active = active[stay]
+        if not kept:
+            continue
+        q, p, low, high = (np.concatenate(x) for x in zip(*kept))
+        order = np.lexsort((-low, q))
+        q, p, low, high = q[order], p[order], low[order], high[order]
+        last = np.full(len(block), -1.0)
+        at_last = _ranks(q) == rule.k + 1
+        last[q[at_last]] = low[at_last]
+        good = high >= last[q] - 10.0**-DIGITS
+        q, p = q[good], p[good]
+        wide = np.bincount(q, minlength=len(block)) > WIDE
+        open_queries[at : at + len(block)] = wide
+        open_points[p[wide[q]]] = True
+        found.append((q[~wide[q]] + at, p[~wide[q]]))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
-    q, p, s = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((-s, q))
-    q, p, s = q[order], p[order], s[order]
-    head = np.r_[True, q[1:] != q[:-1]]
-    rank = np.arange(len(q)) - np.maximum.accumulate(np.where(head, np.arange(len(q)), 0))
-    top = rank < rule.k + 2
-    return q[top], p[top], s[top]
+        return np.empty(0, np.int64), np.empty(0, np.int64), open_queries, open_points
+    q, p = (np.concatenate(x) for x in zip(*found))
+    return q, p, open_queries, open_points
+
+
+def best_of(queries: np.ndarray, points: np.ndarray, query_class: np.ndarray, point_class: np.ndarray, ids: np.ndarray, rule: KnnRule) -> tuple[np.ndarray, np.ndarray]:
+    """(query, point) of the k + 2 best points of each query by full-precision unit vectors, the smaller of ``ids`` first among equals."""
+    by_id = np.argsort(ids, kind="stable")
+    points, point_class = points[by_id], point_class[by_id]
+    n, keep = len(points), rule.k + 2
+    found = []
+    step = max(1, (1 << 20) // n)
+    for at in range(0, len(queries), step):
+        s = np.round(queries[at : at + step] @ points.T, DIGITS)
+        s[(query_class[at : at + step, None, :] == point_class[None]).all(axis=2)] = -2
+        last = np.partition(s, n - keep, axis=1)[:, n - keep] if n > keep else np.full(len(s), -2.0)
+        q, p = np.nonzero((s >= last[:, None]) & (s >= rule.min_similarity - 10.0**-DIGITS))
+        order = np.lexsort((p, -s[q, p], q))
+        q, p = q[order], p[order]
+        if len(q):
+            top = _ranks(q) < keep
+            found.append((q[top] + at, by_id[p[top]]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    q, p = (np.concatenate(x) for x in zip(*found))
+    return q, p
 
 
 def _hash_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,16 +305,28 @@ def _spread(routed: DataFrame) -> DataFrame:
     return wide.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c1", "c2", "q8")
 
 
+_FOUND = "a1 long, a2 long, b1 long, b2 long, cell long, i int, j int, role int"
+_QUERY, _POINT, _RIGHT = 1, 2, 4  # roles of a class in a task that is ranked again
+
+
+def _found(classes: np.ndarray, task: tuple[np.ndarray, np.ndarray, np.ndarray], role: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.ascontiguousarray(c)) for c in classes.T]
+    columns += [pa.array(x.astype(t)) for x, t in zip((*task, role), (np.int64, np.int32, np.int32, np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=["a1", "a2", "b1", "b2", "cell", "i", "j", "role"])
+
+
 def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
-    """Distinct (a1, a2, b1, b2): b is among the best of a in some cell."""
+    """Distinct pairs (a1, a2, b1, b2) with role 0: b may be among the best of a in some cell; other roles: class a takes part in task (cell, i, j) of ``dense_neighbours``."""
     placed = tasks.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
     def group(table: pa.Table) -> Iterator[pa.RecordBatch]:
         cell, i, j, block = (table.column(k).to_numpy() for k in range(4))
         c1, c2 = table.column(4).to_numpy(), table.column(5).to_numpy()
-        x = _unit(_bytes(table.column(6), rule.dim))
+        q8 = _bytes(table.column(6), rule.dim)
+        x, slack = _unit(q8), _slack(q8)
         head = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
         pairs = []
+        role = np.zeros(len(cell), np.int32)
         for a, b in zip(head.tolist(), np.r_[head[1:], len(cell)].tolist()):
             if b - a < 2:
                 continue
@@ -260,14 +338,58 @@ def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
                 sides = [(left, right, False), (right, left, False)]
             for q_rows, p_rows, same in sides:
                 if len(q_rows) and len(p_rows):
-                    q, p, _ = collision_search(x[q_rows], x[p_rows], rule, same)
+                    q, p, open_q, open_p = collision_search(x[q_rows], x[p_rows], rule, same, (slack[q_rows], slack[p_rows]))
                     pairs.append((q_rows[q], p_rows[p]))
+                    role[q_rows[open_q]] |= _QUERY
+                    role[p_rows[open_p]] |= _POINT
         if pairs:
             q, p = (np.concatenate(z) for z in zip(*pairs))
             distinct = np.unique(np.column_stack([c1[q], c2[q], c1[p], c2[p]]), axis=0)
+            none = np.zeros(len(distinct), np.int32)
+            yield _found(distinct, (none, none, none), none)
+        again = np.flatnonzero(role)
+        if len(again):
+            right = (i[again] != j[again]) & (block[again] == j[again])
+            none = np.zeros(len(again), np.int64)
+            yield _found(np.column_stack([c1[again], c2[again], none, none]), (cell[again], i[again], j[again]), role[again] | np.where(right, _RIGHT, 0))
+
+    return placed.mapInArrow(lambda batches: whole_groups(batches, 3, 8192, group), _FOUND).distinct()
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Unit vectors; scaled by the largest value first, so that no square overflows or vanishes."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+def dense_neighbours(again: DataFrame, base: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
+    """(a1, a2, b1, b2): the k + 2 best of each open query among the open points of its task, on full-precision vectors."""
+    classes = base.groupBy(F.col("c1").alias("a1"), F.col("c2").alias("a2")).agg(F.min("id").alias("id"), F.first("vec").alias("vec"))
+    rows = again.join(classes, ["a1", "a2"]).select("cell", "i", "j", "role", "a1", "a2", "id", "vec")
+    placed = rows.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+
+    def group(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        cell, i, j, role = (table.column(k).to_numpy() for k in range(4))
+        classes = np.column_stack([table.column(4).to_numpy(), table.column(5).to_numpy()])
+        ids = np.array(table.column(6).to_pylist(), object)
+        x = _scaled(_matrix(table.column(7), rule.dim))
+        head = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        pairs = []
+        for a, b in zip(head.tolist(), np.r_[head[1:], len(cell)].tolist()):
+            rows, r = np.arange(a, b), role[a:b]
+            right = (r & _RIGHT) > 0
+            for side in (False, True):
+                q_rows = rows[((r & _QUERY) > 0) & (right == side)]
+                p_rows = rows[((r & _POINT) > 0) & ((right != side) if i[a] != j[a] else ~right)]
+                if len(q_rows) and len(p_rows):
+                    q, p = best_of(x[q_rows], x[p_rows], classes[q_rows], classes[p_rows], ids[p_rows], rule)
+                    pairs.append(np.column_stack([classes[q_rows[q]], classes[p_rows[p]]]))
+        if pairs:
+            distinct = np.unique(np.concatenate(pairs), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in distinct.T], names=["a1", "a2", "b1", "b2"])
 
-    return placed.mapInArrow(lambda batches: whole_groups(batches, 3, 8192, group), "a1 long, a2 long, b1 long, b2 long").distinct()
+    return placed.mapInArrow(lambda batches: whole_groups(batches, 3, EXACT_ROWS, group), "a1 long, a2 long, b1 long, b2 long")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rule: KnnRule) -> DataFrame:
@@ -281,10 +403,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rule: KnnRule) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (_matrix(batch.column(k), rule.dim).astype(np.float64) for k in (4, 5))
-            # scaled by the largest value first, so that no square overflows or vanishes
-            x, y = (v / np.abs(v).max(axis=1, keepdims=True) for v in (x, y))
-            s = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
+            s = np.einsum("ij,ij->i", *(_scaled(_matrix(batch.column(k), rule.dim)) for k in (4, 5)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(s)], names=["a1", "a2", "b1", "b2", "similarity"])
 
     return joined.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long, similarity double").where(F.col("similarity") >= rule.min_similarity)
@@ -299,20 +418,26 @@ def most_similar(rows: DataFrame, key: str = "id", vector: str = "embedding", ru
     levels = _levels(count, rule.dim)
     routed = route(classes.select("c1", "c2", "q8"), rule, levels)
     parts = tasks_for(rows.sparkSession, count * rule.table_count(levels), TASK_ROWS)
-    pairs = materialize(cell_neighbours(_spread(routed), rule, parts), "vector-pairs")
+    found = materialize(cell_neighbours(_spread(routed), rule, parts), "vector-pairs")
+    pairs, again = found.where("role = 0").select("a1", "a2", "b1", "b2"), found.where("role > 0")
+    dense = again.count()
+    if dense:
+        best = dense_neighbours(again.select("a1", "a2", "cell", "i", "j", "role"), base, rule, tasks_for(rows.sparkSession, dense, EXACT_ROWS))
+        pairs = pairs.unionByName(best).distinct()
     links = materialize(_verified(pairs, classes, rule), "vector-links")
-    release(pairs)
+    release(found)
 
     # the first ids of each class stand for it: no row needs more than k + 1 of them
     w = Window.partitionBy("c1", "c2").orderBy("id")
     firsts = members.withColumn("n", F.row_number().over(w)).where(F.col("n") <= rule.k + 1).select("c1", "c2", F.col("id").alias("other"))
     to = firsts.select(F.col("c1").alias("b1"), F.col("c2").alias("b2"), "other")
-    by_class = Window.partitionBy("a1", "a2").orderBy(F.desc("similarity"), "other")
+    closeness = F.round("similarity", DIGITS).desc()
+    by_class = Window.partitionBy("a1", "a2").orderBy(closeness, "other")
     outside = links.join(to, ["b1", "b2"]).withColumn("place", F.row_number().over(by_class)).where(F.col("place") <= rule.k)
     outside = outside.select(F.col("a1").alias("c1"), F.col("a2").alias("c2"), "other", "similarity")
     inside = firsts.withColumn("similarity", F.lit(1.0))
     options = inside.unionByName(outside)
-    best = Window.partitionBy("id").orderBy(F.desc("similarity"), "other")
+    best = Window.partitionBy("id").orderBy(closeness, "other")
     found = members.join(options, ["c1", "c2"]).where(F.col("id") != F.col("other")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rule.k)
     return found.select("id", F.col("other").alias("neighbour"), "rank", "similarity")
 

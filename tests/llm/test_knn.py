@@ -85,3 +85,42 @@ def test_two_levels_still_find_neighbours(spark, monkeypatch):
     rows = data(4, 80)
     want = brute(rows, RULE)
     assert len(want & set(found(spark.createDataFrame(rows, "id string, embedding array<float>")))) >= 0.95 * len(want)
+
+
+def tight(seed, spread, size=150, dim=16):
+    """Clusters of near-copies: the gaps between their similarities are below the rounding to one byte."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for f, c in enumerate(rng.normal(size=(4, dim))):
+        rows += [(f"{f}-{v:03}", [float(np.float32(x)) for x in c + rng.normal(size=dim) * spread]) for v in rng.permutation(size)]
+    return rows
+
+
+@pytest.mark.parametrize("spread", [0.003, 1e-7])
+def test_dense_clusters_against_brute_force(spark, spread):
+    rows = tight(6, spread)
+    want = brute(rows, RULE)
+    got = found(spark.createDataFrame(rows, "id string, embedding array<float>"))
+    assert len(got) == len(set(got)) == len(want)
+    assert len(want & set(got)) >= 0.999 * len(want)
+
+
+def test_dense_cells_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(K, "HOT", 64)
+    rows = tight(7, 0.01)
+    want = brute(rows, RULE)
+    assert len(want & set(found(spark.createDataFrame(rows, "id string, embedding array<float>")))) >= 0.999 * len(want)
+
+
+def test_bounds_hold_for_rounded_vectors():
+    """One large value makes the others round to few steps."""
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=(2, 2000, 16))
+    a[:500, 0], b[:500, 0] = 60, 50
+    a[500:1000] = np.r_[1.0, [0.0039] * 15]  # rounds to one value
+    b[500:1000, 0] = 3
+    b[1000:] = a[1000:] + b[1000:] * rng.choice([1e-6, 1e-3, 0.1], (1000, 1))
+    q8 = [np.rint(x / np.abs(x).max(axis=1, keepdims=True) * 127).astype(np.int8) for x in (a, b)]
+    low, high = K._bounds(np.einsum("ij,ij->i", *map(K._unit, q8)), K._slack(q8[0]) + K._slack(q8[1]))
+    exact = np.einsum("ij,ij->i", K._scaled(a), K._scaled(b))
+    assert (low <= exact).all() and (exact <= high).all()
