@@ -63,8 +63,23 @@ class KnnRule:
         return (*[r for r in self.radii if r < last], last)
 
     def table_count(self, levels: int) -> int:
-        """With more levels a cell needs all of them to agree, hence more tables."""
-        return math.ceil(self.tables * 2.5 ** (levels - 1))
+        """With more levels a cell needs all of them to agree, hence more tables: a pair at the limit is missed as rarely as with one level."""
+        one = _agreement(self.dim, self.min_similarity)
+        return math.ceil(self.tables * (math.log1p(-one) / math.log1p(-(one**levels))) - 1e-9)
+
+
+@lru_cache
+def _agreement(dim: int, similarity: float, draws: int = 1 << 16) -> float:
+    """The share of rotations that send two vectors of this similarity to the same extreme coordinate, by simulation."""
+    rng = np.random.default_rng(SEED + 2)
+    same = 0
+    for _ in range(0, draws, 1 << 12):
+        x, z = rng.normal(size=(2, 1 << 12, dim))
+        y = similarity * x + math.sqrt(1 - similarity**2) * z
+        a, b = np.abs(x).argmax(axis=1), np.abs(y).argmax(axis=1)
+        at = np.arange(1 << 12)
+        same += int(((a == b) & ((x[at, a] > 0) == (y[at, b] > 0))).sum())
+    return same / draws
 
 
 @lru_cache
@@ -74,8 +89,8 @@ def _rotations(dim: int, count: int) -> np.ndarray:
 
 
 @lru_cache
-def _directions(dim: int, count: int) -> np.ndarray:
-    return np.random.default_rng(SEED + 1).normal(size=(dim, count)).astype(np.float32)
+def _directions(dim: int, count: int, table: int = 0) -> np.ndarray:
+    return np.random.default_rng([SEED + 1, table]).normal(size=(dim, count)).astype(np.float32)
 
 
 class SortedProjections:
@@ -127,13 +142,13 @@ def _ranks(q: np.ndarray) -> np.ndarray:
     return np.arange(len(q)) - np.maximum.accumulate(np.where(head, np.arange(len(q)), 0))
 
 
-def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, same: bool, slack: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, same: bool, slack: tuple[np.ndarray, np.ndarray], table: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query, point, open queries, open points): pairs that may have the rule's similarity and be among the k + 2 best of the query.
 
     ``slack`` holds the angles by which the queries and the points may be off. A query with more than ``WIDE`` such points
     is marked open, as are its points, and has no pairs.
     """
-    directions = _directions(rule.dim, rule.projections)
+    directions = _directions(rule.dim, rule.projections, table)  # of each table its own: a pair that fails in one may pass in another
     arrays = SortedProjections(points, directions)
     n = len(points)
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -315,7 +330,7 @@ def _found(classes: np.ndarray, task: tuple[np.ndarray, np.ndarray, np.ndarray],
     return pa.RecordBatch.from_arrays(columns, names=["a1", "a2", "b1", "b2", "cell", "i", "j", "role"])
 
 
-def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
+def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int, levels: int) -> DataFrame:
     """Distinct pairs (a1, a2, b1, b2) with role 0: b may be among the best of a in some cell; other roles: class a takes part in task (cell, i, j) of ``dense_neighbours``."""
     placed = tasks.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
@@ -330,7 +345,7 @@ def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
         for a, b in zip(head.tolist(), np.r_[head[1:], len(cell)].tolist()):
             if b - a < 2:
                 continue
-            rows = np.arange(a, b)
+            rows, table_no = np.arange(a, b), int(cell[a]) // (2 * rule.dim) ** levels
             if i[a] == j[a]:
                 sides = [(rows, rows, True)]
             else:
@@ -338,7 +353,7 @@ def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int) -> DataFrame:
                 sides = [(left, right, False), (right, left, False)]
             for q_rows, p_rows, same in sides:
                 if len(q_rows) and len(p_rows):
-                    q, p, open_q, open_p = collision_search(x[q_rows], x[p_rows], rule, same, (slack[q_rows], slack[p_rows]))
+                    q, p, open_q, open_p = collision_search(x[q_rows], x[p_rows], rule, same, (slack[q_rows], slack[p_rows]), table_no)
                     pairs.append((q_rows[q], p_rows[p]))
                     role[q_rows[open_q]] |= _QUERY
                     role[p_rows[open_p]] |= _POINT
@@ -418,7 +433,7 @@ def most_similar(rows: DataFrame, key: str = "id", vector: str = "embedding", ru
     levels = _levels(count, rule.dim)
     routed = route(classes.select("c1", "c2", "q8"), rule, levels)
     parts = tasks_for(rows.sparkSession, count * rule.table_count(levels), TASK_ROWS)
-    found = materialize(cell_neighbours(_spread(routed), rule, parts), "vector-pairs")
+    found = materialize(cell_neighbours(_spread(routed), rule, parts, levels), "vector-pairs")
     pairs, again = found.where("role = 0").select("a1", "a2", "b1", "b2"), found.where("role > 0")
     dense = again.count()
     if dense:

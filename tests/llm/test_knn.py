@@ -124,3 +124,24 @@ def test_bounds_hold_for_rounded_vectors():
     low, high = K._bounds(np.einsum("ij,ij->i", *map(K._unit, q8)), K._slack(q8[0]) + K._slack(q8[1]))
     exact = np.einsum("ij,ij->i", K._scaled(a), K._scaled(b))
     assert (low <= exact).all() and (exact <= high).all()
+
+
+def test_miss_rate_is_the_same_at_every_level():
+    rule = K.KnnRule()
+    one = K._agreement(rule.dim, rule.min_similarity)
+    assert 0.36 < one < 0.39 and rule.table_count(1) == rule.tables
+    for levels in (2, 3, 4):
+        assert (1 - one**levels) ** rule.table_count(levels) <= (1 - one) ** rule.tables * 1.0001
+
+
+def test_pairs_at_the_limit_collide_in_some_table():
+    """With the same directions in all tables about one in a hundred never would."""
+    rule = K.KnnRule()
+    rng = np.random.default_rng(9)
+    x, z = rng.normal(size=(2, 4000, rule.dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= np.einsum("ij,ij->i", x, z)[:, None] * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    gap = rule.min_similarity * x + np.sqrt(1 - rule.min_similarity**2) * z - x
+    met = [(np.abs(gap @ K._directions(rule.dim, rule.projections, t)) <= rule.schedule[-1]).sum(axis=1) >= rule.collisions for t in range(rule.tables)]
+    assert np.any(met, axis=0).all() and not np.all(met, axis=0).all()
