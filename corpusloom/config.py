@@ -20,7 +20,7 @@ class PipelineConfig:
     alternate_page: str = "https://developer.pomology.example/documentation/toolchain/formatting-your-content"
     alternate_page_from: str = "/documentation/toolchain"
     alternate_page_to: str = "/docc"
-    batch_size: int = 30
+    batch_size: int | None = 30  # None: a batch takes every page in scope
     batch_count: int = 30
     force_update_all: bool = False
     permanent_statuses: tuple[int, ...] = (403, 404, 410)

@@ -20,9 +20,12 @@ def _empty_first(name: str) -> Column:
 def claim_batch(pages: DataFrame, config: PipelineConfig) -> DataFrame:
     """The next batch: rows in scope at the lowest count, empty content first, then empty title, then by address, with their counts raised.
 
-    The lowest count is a scalar subquery on one column; the order is a bounded top-k in every task, never a full sort.
+    The lowest count is a scalar subquery on one column; the order is a bounded top-k in every task, never a full sort. Without a batch size
+    every row in scope is taken, whatever its count, and nothing is sorted.
     """
     scoped = pages.where(in_scope(F.col("url"), config))
+    if config.batch_size is None:
+        return scoped.withColumn("collect_count", (F.col("collect_count") + 1).cast("int"))
     lowest = scoped.agg(F.min("collect_count").alias("lowest"))
     tier = scoped.where(F.col("collect_count") == lowest.scalar())
     claimed = tier.orderBy(_empty_first("content"), _empty_first("title"), "url").limit(config.batch_size)

@@ -62,6 +62,6 @@ def report_text(stats: dict, seconds: float, chunks: int, config: PipelineConfig
             f"📦 Chunks: {stats['total_chunks']} total | Avg collect: {average}",
             f"🔄 Range: {stats['min_collect_count']}-{stats['max_collect_count']}",
             "",
-            f"⚙️ Config: {config.batch_size}×{config.batch_count}={config.batch_size * config.batch_count} URLs | Force: {'Y' if config.force_update_all else 'N'}",
+            f"⚙️ Config: {"all URLs" if config.batch_size is None else f"{config.batch_size}×{config.batch_count}={config.batch_size * config.batch_count} URLs"} | Force: {'Y' if config.force_update_all else 'N'}",
         )
     )

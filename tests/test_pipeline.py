@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,10 +8,13 @@ from pyspark.sql import functions as F
 from corpusloom.config import PipelineConfig
 from corpusloom.operators import crawl_state as S
 from corpusloom.functions.text import shorten_message
+from corpusloom.functions.urls import in_scope
 from corpusloom.plans.pipeline import Pipeline, progress_due, report_due
+from corpusloom.plans.registry import QUERIES
+from corpusloom.session import scratch_path
 from corpusloom.sources.jdbc import JdbcSource
 from corpusloom.sources.providers import MemoryNotifier, TableFetcher
-from corpusloom.sources.tables import SCHEMAS
+from corpusloom.sources.tables import SCHEMAS, read_table
 from corpusloom.streaming.feed_stream import read_feed, run_available
 
 CONFIG = PipelineConfig(batch_size=10, batch_count=1)
@@ -175,3 +179,28 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         feed.write.mode("append").parquet(f"{tmp_path}/feed")
         run_available(read_feed(spark, f"{tmp_path}/feed"), lambda df, n: seen.append(df.count()), f"{tmp_path}/state").awaitTermination()
     assert seen == [1, 1]
+
+
+DATA = "/root/testdata/sf0.01"
+
+
+def counts(rows):
+    return {r.id: r.collect_count for r in rows.collect()}
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_pipeline_query_claims_every_page_in_scope(spark):
+    before = counts(read_table(spark, DATA, "pages").where(in_scope(F.col("url"), PipelineConfig())))
+    after = counts(QUERIES["pipeline_batches"](spark, DATA))
+    kept = before.keys() & after.keys()
+    assert len(kept) > 120 and all(after[i] == before[i] + 1 for i in kept)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_two_batches_claim_120_pages(spark):
+    pages = read_table(spark, DATA, "pages")
+    store = S.SnapshotStore(spark, scratch_path(spark, "two-batches"))
+    store.write(pages=pages, chunks=read_table(spark, DATA, "chunks"))
+    answers = pages.select("url", F.lit(200).alias("status"), F.lit("OK").alias("reason"), F.col("raw_json").alias("body"))
+    results = Pipeline(spark, store, TableFetcher(answers), PipelineConfig(batch_size=60, batch_count=2)).run(report=False)
+    assert [r.claimed for r in results] == [60, 60]
