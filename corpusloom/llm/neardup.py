@@ -3,7 +3,7 @@
 1. Each text is reduced in one scan to a 128-bit sketch (one bit of each of 128 min-hashes of its word shingles): two texts of
    similarity J differ in (1 - J) / 2 of the bits on average. Texts with the same sequence of words form a *class* that goes on as one.
 2. A class is routed to ``bands`` tries, each keyed by three of its min-hashes; the trie self-join walks node pairs inside each.
-   A trie of more than ``HOT`` classes is spread over tasks by pairs of its top nodes, so no task holds an unbounded trie.
+   A trie of more than ``HOT`` classes is cut into blocks by a hash, whose pairs are tasks: no task holds an unbounded trie, however alike its codes.
 3. Candidate pairs are verified on the full shingle sets; nothing depends on the sketch but which pairs are looked at.
 
 The shuffles carry 40 bytes a class and band, and the shingle sets of candidate classes only, never texts of the whole table.
@@ -147,27 +147,26 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _spread_hot(rows: DataFrame) -> DataFrame:
-    """Adds the task of each row: (key, p, q). Rows of a trie of more than HOT classes go to the pairs of its top nodes."""
+    """Adds the task of each row, (key, p, q), and its block. A trie of more than HOT classes is cut into blocks, whose pairs are the tasks."""
     hot = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT), "hot-tries")
-    plain = rows.withColumn("p", F.lit(-1)).withColumn("q", F.lit(-1))
+    plain = rows.withColumns({"p": F.lit(0), "q": F.lit(0), "block": F.lit(0)})
     n = hot.count()
     if not n:
         return plain
     if n <= BROADCAST_IDS:
         hot = F.broadcast(hot)
     known = rows.join(hot, "key", "left")
-    levels = F.least(F.lit(10), F.ceil(F.log2(F.col("n") / HOT)).cast("int") + 1)
-    own = F.expr("cast(shiftrightunsigned(s1, 64 - levels) as int)")
-    other = F.when(F.col("n").isNull(), F.array(F.lit(-1))).otherwise(F.expr("sequence(0, cast(shiftleft(1, levels) as int) - 1)"))
-    wide = known.withColumn("levels", levels).withColumn("own", own).withColumn("other", F.explode(other))
-    return wide.select("key", "c1", "c2", "s1", "s2", F.when(F.col("other") < 0, -1).otherwise(F.least("own", "other")).alias("p"), F.when(F.col("other") < 0, -1).otherwise(F.greatest("own", "other")).alias("q"))
+    blocks = F.coalesce(F.ceil(F.col("n") / math.ceil(HOT / 2)).cast("int"), F.lit(1))
+    known = known.withColumn("blocks", blocks).withColumn("block", F.expr("cast(pmod(c2, blocks) as int)"))
+    wide = known.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return wide.select("key", "c1", "c2", "s1", "s2", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block")
 
 
 def _join_tries(rows: tuple[np.ndarray, ...], budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of row positions in the tries of ``rows`` (key, p, q, s1, s2), each of them whole."""
-    key, p, q, s1, s2 = rows
-    order = np.lexsort((s2, s1, q, p, key))
-    key, p, q, s1, s2 = key[order], p[order], q[order], s1[order], s2[order]
+    """Pairs of row positions in the tasks of ``rows`` (key, p, q, block, s1, s2), each of them whole."""
+    key, p, q, block, s1, s2 = rows
+    order = np.lexsort((s2, s1, block, q, p, key))
+    key, p, q, block, s1, s2 = (x[order] for x in (key, p, q, block, s1, s2))
     head = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])])
     tail = np.r_[head[1:], len(key)]
     more = tail - head > 1
@@ -176,12 +175,9 @@ def _join_tries(rows: tuple[np.ndarray, ...], budget: int) -> Iterator[tuple[np.
         return
     left = np.column_stack([head, tail])
     right = left.copy()
-    for k in np.flatnonzero(p[head] != q[head]):  # two top nodes: pairs across only
+    for k in np.flatnonzero(p[head] != q[head]):  # two blocks: pairs across only
         a, b = head[k], tail[k]
-        levels = 1
-        while levels < 12 and not (s1[a] >> np.uint64(64 - levels) == np.uint64(p[a]) and s1[b - 1] >> np.uint64(64 - levels) == np.uint64(q[a])):
-            levels += 1
-        cut = a + int(np.searchsorted(s1[a:b] >> np.uint64(64 - levels), np.uint64(q[a])))
+        cut = a + int(np.searchsorted(block[a:b], q[a]))
         left[k], right[k] = (a, cut), (cut, b)
     filled = (left[:, 0] < left[:, 1]) & (right[:, 0] < right[:, 1])
     for i, j in trie_self_join(s1, s2, left[filled], right[filled], budget):
@@ -191,15 +187,15 @@ def _join_tries(rows: tuple[np.ndarray, ...], budget: int) -> Iterator[tuple[np.
 def candidate_pairs(classes: DataFrame, budget: int) -> DataFrame:
     """Distinct (a1, a2, b1, b2) of classes within the error budget in some trie. ``classes`` (c1, c2, keys, s1, s2)."""
     rows = classes.select(F.explode("keys").alias("key"), "c1", "c2", "s1", "s2")
-    tasks = _spread_hot(rows).select("key", "p", "q", "c1", "c2", "s1", "s2")
+    tasks = _spread_hot(rows).select("key", "p", "q", "block", "c1", "c2", "s1", "s2")
     placed = tasks.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush(block: np.ndarray) -> Iterator[pa.RecordBatch]:
-            key, p, q, c1, c2, s1, s2 = block
-            unsigned = (key, p, q, s1.view(np.uint64), s2.view(np.uint64))
+            key, p, q, side, c1, c2, s1, s2 = block
+            unsigned = (key, p, q, side, s1.view(np.uint64), s2.view(np.uint64))
             for i, j in _join_tries(unsigned, budget):
                 swap = (c1[i] > c1[j]) | ((c1[i] == c1[j]) & (c2[i] > c2[j]))
                 a, b = np.where(swap, j, i), np.where(swap, i, j)

@@ -110,3 +110,14 @@ def test_recall_at_the_threshold():
         near = int(((N._fmix32(m[0]) ^ N._fmix32(m[1])) & 1).sum()) <= RULE.budget
         met += bands and near
     assert met >= 198
+
+
+def test_a_trie_of_equal_codes_is_split(spark, monkeypatch):
+    monkeypatch.setattr(N, "HOT", 64)
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(-(2**62), 2**62, (1000, 2)).tolist()
+    rows = spark.createDataFrame([(7, a, b, 5, 9) for a, b in hashes], "key long, c1 long, c2 long, s1 long, s2 long")
+    largest = N._spread_hot(rows).groupBy("key", "p", "q").count().agg({"count": "max"}).first()[0]
+    assert largest <= 2 * 64
+    pairs = N.candidate_pairs(spark.createDataFrame([(a, b, [7], 5, 9) for a, b in hashes[:200]], "c1 long, c2 long, keys array<long>, s1 long, s2 long"), 0)
+    assert pairs.count() == 200 * 199 // 2
