@@ -5,24 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.change_feed import ChangeFeedStore, Pass
+from corpusloom.operators.change_feed import ChangeFeedStore, FailedBeforeCommit
 from corpusloom.operators.nested import flatten_records, object_nodes
-from corpusloom.session import scratch_path
+from corpusloom.session import drop_path, materialize, scratch_path
 from corpusloom.sources.tables import read_table
 
 
-def _replayed(spark: SparkSession, d: str) -> Pass:
+def _replayed(spark: SparkSession, d: str) -> DataFrame:
+    """The changes that stand once the run log has been followed as it grew: two passes, with one that fails before its commit between them."""
+    feed, log = read_table(spark, d, "page_feed"), read_table(spark, d, "collect_runs")
     store = ChangeFeedStore(spark, scratch_path(spark, "change-feed"))
-    return store.process(read_table(spark, d, "page_feed"), read_table(spark, d, "collect_runs"))
+    half = log.agg(F.percentile_approx("run_id", 0.5).alias("at")).first().at
+    store.process(feed, log.where(F.col("run_id") <= half))
+    store.fail_before_commit = True
+    try:
+        store.process(feed, log)
+    except FailedBeforeCommit:
+        store.fail_before_commit = False
+    store.process(feed, log)
+    changes = materialize(store.changes(), "changes")
+    drop_path(spark, store.path)
+    return changes
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _replayed(spark, d).changes
+    return _replayed(spark, d)
 
 
 def p1_claimed_deliveries(spark: SparkSession, d: str) -> DataFrame:
-    """Deliveries each run took, from the committed intervals."""
-    claims = _replayed(spark, d).claims
+    """Deliveries each run took, from the committed intervals of one pass over the whole log."""
+    store = ChangeFeedStore(spark, scratch_path(spark, "change-feed"))
+    claims = store.process(read_table(spark, d, "page_feed"), read_table(spark, d, "collect_runs")).claims
     return claims.groupBy("run_id").agg(F.sum(F.col("hi") - F.col("lo") + 1).cast("bigint").alias("deliveries"), F.min("lo").alias("first_seq"), F.max("hi").alias("last_seq"))
 
 
