@@ -6,7 +6,9 @@
    A trie of more than ``HOT`` classes is cut into blocks by a hash, whose pairs are tasks: no task holds an unbounded trie, however alike its codes.
 3. Candidate pairs are verified on the full shingle sets; nothing depends on the sketch but which pairs are looked at.
 
-The shuffles carry 40 bytes a class and band, and the shingle sets of candidate classes only, never texts of the whole table.
+The shuffles carry 40 bytes a class and band, and shingle sets of candidate classes, never texts: the second scan keeps the representatives of candidate
+classes by a Bloom filter of at most ``FILTER_BITS`` bits (32 MB) and reduces them to their sets in place. What the filter lets through beside them
+falls out of the join with the pairs.
 No partner or bucket cap drops a pair. The routing and the error budget are probabilistic: at the threshold a pair is missed with
 probability of about ``miss`` for the routing and 1e-4 for the budget, and far less above it.
 
@@ -16,13 +18,15 @@ take no part; a repeated row with the same id makes no pair with itself; extra c
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.hamming_trie import BITS, trie_self_join
@@ -32,7 +36,10 @@ from corpusloom.session import materialize, release
 HOT = 2048  # classes in one trie task
 SCAN_CHARS = 1 << 20
 JOIN_ROWS = 1 << 17
-BROADCAST_IDS = 200_000  # ids of candidate classes sent to every executor at most (about 20 MB)
+FILTER_BITS = 1 << 28
+KEY_BITS = 16  # of the filter for each key, while FILTER_BITS allow
+BROADCAST_ROWS = 200_000  # hot tries or large classes sent to every executor at most (some 10 MB)
+COPIES = 1000  # rows of one class that stay together
 BAND_ROWS = 3
 
 
@@ -53,9 +60,10 @@ class NearDupRule:
         return math.ceil(BITS * p + 3.8 * math.sqrt(BITS * p * (1 - p)))
 
 
-_rng = np.random.default_rng(20240229)
-_XOR = _rng.integers(0, 1 << 32, BITS, dtype=np.uint32)
-_MULTIPLY = _rng.integers(0, 1 << 31, BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+@lru_cache
+def _hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
+    xor = np.random.default_rng(20240229).integers(0, 1 << 32, count, dtype=np.uint32)
+    return xor, np.random.default_rng(20240301).integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def _fmix32(x: np.ndarray) -> np.ndarray:
@@ -64,17 +72,18 @@ def _fmix32(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
-def min_hashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts x BITS) minima over each text's shingles; no text may be empty."""
-    out = np.empty((BITS, len(offsets) - 1), np.uint32)
+def min_hashes(hashes: np.ndarray, offsets: np.ndarray, count: int = BITS) -> np.ndarray:
+    """(texts x count) minima over each text's shingles; no text may be empty."""
+    xor, multiply = _hash_functions(count)
+    out = np.empty((count, len(offsets) - 1), np.uint32)
     step = 1 << 14
     at = 0
     while at < len(offsets) - 1:  # runs of texts small enough for the cache
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + step, side="right")) - 1)
         x = (hashes[offsets[at] : offsets[end]] >> np.uint64(32)).astype(np.uint32)
         heads = (offsets[at:end] - offsets[at]).astype(np.int64)
-        for k in range(BITS):
-            out[k, at:end] = np.minimum.reduceat((x ^ _XOR[k]) * _MULTIPLY[k], heads)
+        for k in range(count):
+            out[k, at:end] = np.minimum.reduceat((x ^ xor[k]) * multiply[k], heads)
         at = end
     return np.ascontiguousarray(out.T)
 
@@ -91,17 +100,25 @@ def sketch(texts: list[str | None], salt: int, rule: NearDupRule) -> tuple[np.nd
         hashes, offsets = grams.hashes[keep], np.r_[0, np.cumsum(count[part])]
     else:
         hashes, offsets = grams.hashes, grams.offsets
-    m = min_hashes(hashes, offsets)
-    bit = (_fmix32(m) & np.uint32(1)).astype(np.uint8)
+    m = min_hashes(hashes, offsets, max(BITS, rule.bands * BAND_ROWS))  # every band has min-hashes of its own
+    bit = (_fmix32(m[:, :BITS]) & np.uint32(1)).astype(np.uint8)
     code = np.packbits(bit, axis=1).view(">u8").astype(np.uint64) if len(part) else np.empty((0, 2), np.uint64)
     keys = np.empty((len(part), rule.bands), np.uint64)
     for b in range(rule.bands):
         x = np.full(len(part), (salt * 1_000_003 + b) & (2**64 - 1), np.uint64)
         for r in range(BAND_ROWS):
-            x = mix64(x ^ m[:, (b * BAND_ROWS + r) % BITS].astype(np.uint64))
+            x = mix64(x ^ m[:, b * BAND_ROWS + r].astype(np.uint64))
         keys[:, b] = x
-    salted = np.uint64(salt)
-    return part, mix64(first[part] ^ salted), mix64(second[part] + salted), keys, code[:, 0], code[:, 1]
+    return part, *_class_keys(first[part], second[part], salt), keys, code[:, 0], code[:, 1]
+
+
+def _salt(kind: str | None) -> int:
+    """Of all of a kind's name; NULL is a kind of its own."""
+    return int.from_bytes(hashlib.blake2b(b"" if kind is None else b"=" + kind.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+
+
+def _class_keys(first: np.ndarray, second: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    return mix64(first ^ np.uint64(salt)), mix64(second + np.uint64(salt))
 
 
 def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -126,7 +143,7 @@ def sketches(records: DataFrame, rule: NearDupRule) -> DataFrame:
             kinds, ids, texts = (c.to_pylist() for c in batch.columns)
             for kind in dict.fromkeys(kinds):
                 rows = [i for i, k in enumerate(kinds) if k == kind]
-                salt = int.from_bytes((kind or "").encode()[:7], "big")
+                salt = _salt(kind)
                 for a, b in _runs([texts[i] for i in rows]):
                     some = rows[a:b]
                     part, c1, c2, keys, s1, s2 = sketch([texts[i] for i in some], salt, rule)
@@ -153,9 +170,7 @@ def _spread_hot(rows: DataFrame) -> DataFrame:
     n = hot.count()
     if not n:
         return plain
-    if n <= BROADCAST_IDS:
-        hot = F.broadcast(hot)
-    known = rows.join(hot, "key", "left")
+    known = rows.join(F.broadcast(hot) if n <= BROADCAST_ROWS else hot, "key", "left")
     blocks = F.coalesce(F.ceil(F.col("n") / math.ceil(HOT / 2)).cast("int"), F.lit(1))
     known = known.withColumn("blocks", blocks).withColumn("block", F.expr("cast(pmod(c2, blocks) as int)"))
     wide = known.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -222,22 +237,68 @@ def candidate_pairs(classes: DataFrame, budget: int) -> DataFrame:
     return placed.mapInArrow(run, "a1 long, a2 long, b1 long, b2 long").distinct()
 
 
+def _places(key: np.ndarray, bits: int, count: int) -> list[np.ndarray]:
+    """The places of keys in a filter of ``bits`` (a power of two)."""
+    x, step = mix64(key.view(np.uint64)), mix64(key.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return [((x + np.uint64(k) * step) & np.uint64(bits - 1)).astype(np.int64) for k in range(count)]
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """A Bloom filter of 64-bit keys: no key is missed, others may pass."""
+
+    words: np.ndarray
+    count: int
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for place in _places(keys, len(self.words) * 64, self.count):
+            out &= (self.words[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return out
+
+
+def key_filter(keys: DataFrame) -> KeyFilter:
+    """Of the column ``key`` (64-bit). Its words are put together where the keys are; the driver gets at most FILTER_BITS / 64 of them."""
+    n = keys.count()
+    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(10, (n * KEY_BITS).bit_length()))
+    count = min(4, max(1, round(0.69 * bits / max(n, 1))))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.concatenate(_places(np.asarray(batch.column(0), dtype=np.int64), bits, count))
+            bit = np.uint64(1) << (place & 63).astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(place >> 6), _long(bit)], names=["word", "bit"])
+
+    rows = keys.select("key").mapInArrow(spread, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
+    return KeyFilter(words, count)
+
+
+def _row_key() -> Column:
+    return F.xxhash64("record_kind", "id")
+
+
 def shingle_sets(records: DataFrame, wanted: DataFrame, rule: NearDupRule) -> DataFrame:
-    """(c1, c2, grams) for the representatives in ``wanted`` (record_kind, id, c1, c2)."""
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    source = records.join(ids, ["record_kind", "id"]).select("c1", "c2", "text")
+    """(c1, c2, grams) of the classes of the rows in ``wanted`` (record_kind, id), and of some other rows."""
+    known = records.sparkSession.sparkContext.broadcast(key_filter(wanted.select(_row_key().alias("key"))))
+    source = records.select(_row_key().alias("key"), "record_kind", "text").where(F.col("text").isNotNull() & F.col("id").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in _runs(texts):
-                grams = shingle(hash_words(texts[a:b]), rule.words)
-                sets = [np.unique(grams.hashes[i:j]) for i, j in zip(grams.offsets, grams.offsets[1:])]
-                offsets = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])], pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(offsets, _long(np.concatenate(sets)))], names=["c1", "c2", "grams"])
+            batch = batch.take(pa.array(np.flatnonzero(known.value.may_hold(np.asarray(batch.column(0), dtype=np.int64)))))
+            kinds, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for kind in dict.fromkeys(kinds):
+                mine = [t for t, k in zip(texts, kinds) if k == kind]
+                for a, b in _runs(mine):
+                    words = hash_words(mine[a:b])
+                    c1, c2 = _class_keys(*sequence_hash(words), _salt(kind))
+                    grams = shingle(words, rule.words)
+                    sets = [np.unique(grams.hashes[i:j]) for i, j in zip(grams.offsets, grams.offsets[1:])]
+                    offsets = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])], pa.int32())
+                    yield pa.RecordBatch.from_arrays([_long(c1), _long(c2), pa.ListArray.from_arrays(offsets, _long(np.concatenate(sets)))], names=["c1", "c2", "grams"])
 
-    # repeated ids would repeat a set
-    return source.mapInArrow(run, "c1 long, c2 long, grams array<long>").dropDuplicates(["c1", "c2"])
+    return source.mapInArrow(run, "c1 long, c2 long, grams array<long>")
 
 
 @dataclass
@@ -249,25 +310,55 @@ class NearDups:
 
     def pairs(self) -> DataFrame:
         """Every pair of rows: across linked classes, and within each class."""
-        m = self.members
-        a = m.select("record_kind", F.col("id").alias("ia"), F.col("c1").alias("a1"), F.col("c2").alias("a2"))
-        b = m.select(F.col("id").alias("ib"), F.col("c1").alias("b1"), F.col("c2").alias("b2"))
-        across = self.links.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).where("ia <> ib").select("record_kind", "ia", "ib")
+        large = _large_classes(self.members)
+        m = _parts(self.members, large, "c1", "c2").withColumn("part", _part())
+        a = m.select("record_kind", F.col("id").alias("ia"), F.col("c1").alias("a1"), F.col("c2").alias("a2"), "part")
+        b = m.select(F.col("id").alias("ib"), F.col("c1").alias("b1"), F.col("c2").alias("b2"), "part")
+        links = _parts(self.links.select("a1", "a2", "b1", "b2"), large, "a1", "a2").withColumn("part", _all_parts()).drop("parts")
+        left = links.join(a, ["a1", "a2", "part"]).select("b1", "b2", "record_kind", "ia")
+        right = _parts(left, large, "b1", "b2").withColumn("part", _all_parts()).drop("parts")
+        across = right.join(b, ["b1", "b2", "part"]).where("ia <> ib").select("record_kind", "ia", "ib")
         return across.unionByName(_copies(m)).select("record_kind", F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b")).distinct()
 
     def groups(self) -> DataFrame:
         """One row per text: its class and the number of other classes that it is linked with."""
-        degree = self.links.select(F.explode(F.array(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")))).alias("c")).groupBy("c.c1", "c.c2").agg(F.count(F.lit(1)).alias("links"))
-        named = self.members.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
-        return self.members.join(named, ["c1", "c2"]).join(degree, ["c1", "c2"], "left").select("record_kind", "id", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+        large = _large_classes(self.members)
+        degree = self.links.select(_both_ends()).groupBy("c.c1", "c.c2").agg(F.count(F.lit(1)).alias("links"))
+        named = self.members.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies")).join(degree, ["c1", "c2"], "left")
+        named = _parts(named, large, "c1", "c2").withColumn("part", _all_parts()).drop("parts")
+        rows = _parts(self.members, large, "c1", "c2").withColumn("part", _part()).drop("parts")
+        return rows.join(named, ["c1", "c2", "part"]).select("record_kind", "id", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
+def _both_ends() -> Column:
+    """One row ``c`` (c1, c2) for each end of a pair of classes."""
+    return F.explode(F.array(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")))).alias("c")
+
+
+def _large_classes(members: DataFrame) -> DataFrame:
+    """(c1, c2, parts) of the classes of more than ``COPIES`` rows."""
+    large = materialize(members.groupBy("c1", "c2").agg(F.ceil(F.count(F.lit(1)) / COPIES).cast("int").alias("parts")).where("parts > 1"), "large-classes")
+    return F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+
+
+def _parts(rows: DataFrame, large: DataFrame, first: str, second: str) -> DataFrame:
+    """Adds how many parts the class of a row is cut into, so that no task of a join by class and part holds a large class."""
+    named = large.select(F.col("c1").alias(first), F.col("c2").alias(second), "parts")
+    return rows.join(named, [first, second], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+
+def _part() -> Column:
+    return F.expr("cast(pmod(xxhash64(id), parts) as int)")
+
+
+def _all_parts() -> Column:
+    return F.explode(F.expr("sequence(0, parts - 1)"))
 
 
-def _copies(members: DataFrame, block: int = 1000) -> DataFrame:
-    """Pairs within classes. A large class is cut into blocks so that no task holds all of it."""
-    size = members.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
-    some = members.join(size, ["c1", "c2"])
-    left = some.select("record_kind", "c1", "c2", F.col("id").alias("ia"), F.expr("pmod(xxhash64(id), parts)").alias("part"))
-    right = some.select("c1", "c2", F.col("id").alias("ib"), F.explode(F.expr("sequence(0L, cast(parts - 1 as long))")).alias("part"))
+def _copies(members: DataFrame) -> DataFrame:
+    """Pairs within classes. ``members`` with parts and part."""
+    left = members.select("record_kind", "c1", "c2", F.col("id").alias("ia"), "part")
+    right = members.select("c1", "c2", F.col("id").alias("ib"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
     return left.join(right, ["c1", "c2", "part"]).where("ia < ib").select("record_kind", "ia", "ib")
 
 
@@ -278,9 +369,10 @@ def near_duplicates(records: DataFrame, rule: NearDupRule = NearDupRule()) -> Ne
     members = base.select("record_kind", "id", "c1", "c2").distinct()
     classes = base.groupBy("c1", "c2").agg(F.first("keys").alias("keys"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     pairs = materialize(candidate_pairs(classes, rule.budget), "candidates")
-    touched = pairs.select(F.explode(F.array(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")))).alias("c")).select("c.*").distinct()
-    wanted = materialize(members.join(touched, ["c1", "c2"]).groupBy("c1", "c2").agg(F.min(F.struct("record_kind", "id")).alias("r")).select("c1", "c2", "r.*"), "representatives")
-    sets = materialize(shingle_sets(records, wanted, rule), "shingle-sets")
+    touched = pairs.select(_both_ends()).select("c.*").distinct()
+    stands = members.groupBy("c1", "c2").agg(F.min(F.struct("record_kind", "id")).alias("r"))
+    wanted = materialize(stands.join(touched, ["c1", "c2"], "left_semi").select("r.*"), "representatives")
+    sets = materialize(shingle_sets(records, wanted, rule).join(touched, ["c1", "c2"], "left_semi").dropDuplicates(["c1", "c2"]), "shingle-sets")  # repeated ids would repeat a set
     a = sets.select(F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("grams").alias("ga"))
     b = sets.select(F.col("c1").alias("b1"), F.col("c2").alias("b2"), F.col("grams").alias("gb"))
     common = F.size(F.array_intersect("ga", "gb"))

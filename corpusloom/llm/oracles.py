@@ -19,7 +19,21 @@ _PIECES = """
     piece AS (SELECT c.id AS page_id, CAST(c.piece_no AS INTEGER) AS piece_no, CAST(c.a AS INTEGER) AS start_char,
         CAST(coalesce(lead(c.b) OVER (PARTITION BY c.id ORDER BY c.piece_no), s.l) AS INTEGER) AS end_char FROM cut c JOIN src s USING (id))"""
 
+# classes are texts of equal words; ``pair`` links different classes
+_GROUPS = """
+    WITH t AS (SELECT 'page' AS kind, id, content FROM pages UNION ALL SELECT 'chunk', id, content FROM chunks),
+    w AS (SELECT DISTINCT kind, id, regexp_extract_all(lower(content), '[a-z0-9]+') AS ws FROM t WHERE content IS NOT NULL),
+    c AS (SELECT kind, ws, min(id) AS class_id, count(*) AS copies FROM w WHERE len(ws) >= 20 GROUP BY kind, ws),
+    g AS (SELECT DISTINCT kind, class_id, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS s FROM c),
+    n AS (SELECT kind, class_id, count(*) AS n FROM g GROUP BY ALL),
+    m AS (SELECT a.kind, a.class_id AS ca, b.class_id AS cb, count(*) AS m FROM g a JOIN g b ON a.kind = b.kind AND a.s = b.s AND a.class_id <> b.class_id GROUP BY ALL),
+    pair AS (SELECT m.kind, ca, cb FROM m JOIN n x ON x.kind = m.kind AND x.class_id = ca JOIN n y ON y.kind = m.kind AND y.class_id = cb WHERE m >= 0.7 * (x.n + y.n - m)),
+    links AS (SELECT kind, ca, count(*) AS links FROM pair GROUP BY ALL)"""
+
 SQL = {
+    "p3_groups": _GROUPS
+    + """ SELECT w.kind AS record_kind, w.id, c.class_id, CAST(c.copies AS BIGINT) AS copies, CAST(coalesce(l.links, 0) AS BIGINT) AS links
+        FROM w JOIN c ON c.kind = w.kind AND c.ws = w.ws LEFT JOIN links l ON l.kind = c.kind AND l.ca = c.class_id""",
     "p2_found": f"""
         WITH v AS (SELECT DISTINCT id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM chunks WHERE {_GOOD}),
         s AS (SELECT a.id AS ia, b.id AS ib, list_cosine_similarity(a.e, b.e) AS c FROM v a, v b WHERE a.id <> b.id),

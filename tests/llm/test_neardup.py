@@ -88,8 +88,13 @@ def test_hot_tries_and_classes_are_split(spark, monkeypatch):
     monkeypatch.setattr(N, "JOIN_ROWS", 64)
     df = spark.createDataFrame(rows, "record_kind string, id string, text string")
     assert {tuple(r) for r in N.near_duplicates(df, RULE).pairs().collect()} == brute(rows, RULE)
-    dups = N.near_duplicates(df, RULE)
-    assert {tuple(r) for r in N._copies(dups.members, block=2).collect()} == {tuple(r) for r in N._copies(dups.members).collect()}
+    whole = {tuple(r) for r in N.near_duplicates(df, RULE).groups().collect()}
+    monkeypatch.setattr(N, "COPIES", 2)
+    for broadcast in (0, 100):
+        monkeypatch.setattr(N, "BROADCAST_ROWS", broadcast)
+        dups = N.near_duplicates(df, RULE)
+        assert {tuple(r) for r in dups.pairs().collect()} == brute(rows, RULE)
+        assert {tuple(r) for r in dups.groups().collect()} == whole
 
 
 def test_empty(spark):
@@ -121,3 +126,44 @@ def test_a_trie_of_equal_codes_is_split(spark, monkeypatch):
     assert largest <= 2 * 64
     pairs = N.candidate_pairs(spark.createDataFrame([(a, b, [7], 5, 9) for a, b in hashes[:200]], "c1 long, c2 long, keys array<long>, s1 long, s2 long"), 0)
     assert pairs.count() == 200 * 199 // 2
+
+
+def test_kinds_are_told_by_their_whole_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    kinds = ["documents_a", "documents_b", None, "", "\0"]
+    df = spark.createDataFrame([(kind, f"{i}{side}", text) for i, kind in enumerate(kinds) for side in "ab"], "record_kind string, id string, text string")
+    pairs = N.near_duplicates(df, RULE).pairs().collect()
+    assert {(r.record_kind, r.id_a, r.id_b) for r in pairs} == {(kind, f"{i}a", f"{i}b") for i, kind in enumerate(kinds)}
+
+
+def test_a_family_of_near_copies_is_spread(spark):
+    """50,000 classes with one code, as in a family of near-copies: no task gets more than two blocks of it."""
+    rows = spark.range(50_000).selectExpr("7L key", "xxhash64(id) c1", "xxhash64(id, 1) c2", "5L s1", "9L s2")
+    tasks = N._spread_hot(rows).groupBy("key", "p", "q").count().selectExpr("max(count) most", "count(*) tasks").first()
+    assert tasks.most <= 1.2 * N.HOT and tasks.tasks == 49 * 50 // 2
+
+
+def test_no_text_is_shuffled(spark, tmp_path):
+    """Texts are reduced to shingle sets in the tasks that scan them, whatever the number of candidates."""
+    spark.createDataFrame(corpus(), "record_kind string, id string, text string").write.parquet(f"{tmp_path}/t")
+    records = spark.read.parquet(f"{tmp_path}/t")
+    sets = N.shingle_sets(records, records.select("record_kind", "id").limit(3), RULE)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Join" not in plan
+
+
+def test_filter_misses_no_key(spark, monkeypatch):
+    keys = np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 4000)
+    some = spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long")
+    known = N.key_filter(some)
+    assert known.may_hold(keys[:1000]).all() and known.may_hold(keys[1000:]).mean() < 0.01
+    monkeypatch.setattr(N, "FILTER_BITS", 1 << 10)  # too few bits: more pass, none is missed
+    assert N.key_filter(some).may_hold(keys[:1000]).all()
+    assert not N.key_filter(some.limit(0)).may_hold(keys).any()
+
+
+def test_low_thresholds_have_min_hashes_for_every_band():
+    rule = N.NearDupRule(words=3, threshold=0.4)
+    texts = [" ".join(f"w{i}" for i in range(a, a + 60)) for a in (0, 20)]
+    _, _, _, keys, _, _ = N.sketch(texts, 1, rule)
+    assert rule.bands > 42 and keys.shape == (2, rule.bands) and len(np.unique(keys[0])) == rule.bands
