@@ -1,17 +1,20 @@
 """The most similar vectors for every vector, by collision-counting hashing.
 
 1. Vectors are scaled to unit length; equal vectors form one class that goes on as one row.
-2. *Routing*: in each of ``tables`` random rotations a class goes to the cell of its most extreme coordinates (``levels`` of them,
-   by the number of classes), so that only vectors near one another in direction meet in a task.
-3. *Collision counting* inside a cell: the cell's vectors are projected on ``projections`` single directions, each a sorted array.
-   Around every query a window opens in each array and widens with the search radius (virtual rehashing); a vector that
+2. *Routing*: in each of a number of random rotations (tables) a class goes to the cell of its most extreme coordinate, so that only vectors near one another
+   in direction meet in a task. Where the collection has more than about ``ROUTED_ROWS`` classes for each such cell, a second coordinate, the most extreme of the first
+   few of another rotation, cuts the cells further; how many coordinates count grows with the collection.
+3. A cell of more than ``CELL_ROWS`` classes is cut inside its task, several times in different ways (*inner cells*): this costs no shuffle.
+4. *Collision counting* inside an inner cell: the vectors are projected on ``projections`` single directions, each a sorted array.
+   Around every query a window opens in each array and widens with the search radius (virtual rehashing, see ``windows``); a vector that
    falls into the windows of at least ``collisions`` directions is verified by its similarity. A query stops once k verified
    vectors lie within the radius that its windows stand for.
-4. The survivors are verified again on the full-precision vectors and cut to the k best.
+5. The survivors are verified again on the full-precision vectors and cut to the k best.
 
+The number of tables makes up for what further coordinates and inner cells miss, so that a pair at the limit is missed as rarely at every size.
 The routed rows carry one byte a dimension. A cell of more than ``HOT`` classes is cut into blocks whose pairs are separate
 tasks: nothing is dropped and no task holds an unbounded cell. Rounding moves a vector by an angle that its bytes bound, so a
-query keeps every partner that may still be among its k + 2 best in the cell. Where these are more than ``WIDE`` (near-copies),
+query keeps every partner that may still be among its k + 2 best in the inner cell. Where these are more than ``WIDE`` (near-copies),
 its task is ranked once more on the full-precision vectors of these classes, and k + 2 partners of each query are left.
 
 Defined results: NULL, empty and all-zero vectors, vectors of another length and vectors with a NULL or non-finite value take no part, nor do rows
@@ -32,11 +35,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import whole_groups
+from corpusloom.llm.classes import every_part, large_classes, own_part, with_parts
 from corpusloom.llm.shingles import mix64
+from corpusloom.llm.windows import POINTS, QUERIES, STEP, SortedArrays, on_grid
 from corpusloom.session import materialize, release, tasks_for
 
-HOT = 4096
-CELL_ROWS = 1024  # aim for cells of about this many classes
+HOT = 1 << 16  # classes of a cell in one task
+ROUTED_ROWS = 1 << 15  # aim for routed cells of at most about this many classes
+CELL_ROWS = 1024  # aim for inner cells of about this many classes
+INNER_MISS = 0.2  # of pairs at the limit, by the inner cells of one table
 BROADCAST_CELLS = 500_000
 TASK_ROWS = 25_000  # routed rows a task
 NOISE = 1e-5  # of similarity, above what float32 sums can be off
@@ -55,17 +62,49 @@ class KnnRule:
     projections: int = 40
     collisions: int = 21
     half_width: float = 1.0  # of a window, in units of the radius
-    radii: tuple[float, ...] = (0.2, 0.38)  # below the largest, which min_similarity sets
+    radii: tuple[float, ...] = (0.3,)  # below the largest, which min_similarity sets
 
     @property
     def schedule(self) -> tuple[float, ...]:
         last = math.sqrt(2 - 2 * self.min_similarity)
         return (*[r for r in self.radii if r < last], last)
 
-    def table_count(self, levels: int) -> int:
-        """With more levels a cell needs all of them to agree, hence more tables: a pair at the limit is missed as rarely as with one level."""
-        one = _agreement(self.dim, self.min_similarity)
-        return math.ceil(self.tables * (math.log1p(-one) / math.log1p(-(one**levels))) - 1e-9)
+    def agreement(self, dims: int | None = None) -> float:
+        """The share of rotations that send two vectors at the limit to the same extreme one of ``dims`` coordinates."""
+        return _agreement(dims or self.dim, self.min_similarity)
+
+    def inner_cuts(self, rows: float) -> tuple[int, int]:
+        """Into how many coordinates' cells a cell of ``rows`` classes is cut, and how often; (0, 1) where it stays whole."""
+        if rows <= 2 * CELL_ROWS:
+            return 0, 1
+        dims = min(self.dim, math.ceil(rows / (2 * CELL_ROWS)))
+        return dims, math.ceil(math.log(INNER_MISS) / math.log1p(-self.agreement(dims)))
+
+    def routing(self, classes: int) -> Routing:
+        """How a collection of ``classes`` is routed, so that a pair at the limit is missed as rarely as by ``tables`` tables of one coordinate."""
+        dims, found = [self.dim], self.agreement()
+        rest = classes / (2 * self.dim * ROUTED_ROWS)
+        while rest > 1:
+            dims.append(min(self.dim, math.ceil(rest / 2)))
+            found *= self.agreement(dims[-1])
+            rest /= 2 * dims[-1]
+        inner, times = self.inner_cuts(classes / math.prod(2 * d for d in dims))
+        if inner:
+            found *= 1 - (1 - self.agreement(inner)) ** times
+        return Routing(tuple(dims), math.ceil(self.tables * math.log1p(-self.agreement()) / math.log1p(-found) - 1e-9))
+
+
+@dataclass(frozen=True)
+class Routing:
+    """For each coordinate that names a cell, among how many it is the most extreme; and the number of tables."""
+
+    dims: tuple[int, ...]
+    tables: int
+
+    @property
+    def cells(self) -> int:
+        """Of one table."""
+        return math.prod(2 * d for d in self.dims)
 
 
 @lru_cache
@@ -82,10 +121,16 @@ def _agreement(dim: int, similarity: float, draws: int = 1 << 16) -> float:
     return same / draws
 
 
-@lru_cache
-def _rotations(dim: int, count: int) -> np.ndarray:
-    rng = np.random.default_rng(SEED)
-    return np.stack([np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(count)]).astype(np.float32)
+@lru_cache(maxsize=4096)
+def _rotation(dim: int, *place: int) -> np.ndarray:
+    """A random rotation of its own for each place (table, then coordinate or inner cut)."""
+    return np.linalg.qr(np.random.default_rng([SEED, *place]).normal(size=(dim, dim)))[0].astype(np.float32)
+
+
+def _extreme(y: np.ndarray) -> np.ndarray:
+    """2 x the most extreme coordinate of each row, plus its sign."""
+    top = np.abs(y).argmax(axis=1)
+    return 2 * top + (y[np.arange(len(y)), top] > 0)
 
 
 @lru_cache
@@ -93,35 +138,6 @@ def _directions(dim: int, count: int, table: int = 0) -> np.ndarray:
     return np.random.default_rng([SEED + 1, table]).normal(size=(dim, count)).astype(np.float32)
 
 
-class SortedProjections:
-    """One sorted array per direction over the vectors of a cell, and each vector's place in it."""
-
-    def __init__(self, vectors: np.ndarray, directions: np.ndarray):
-        self.n, self.m = len(vectors), directions.shape[1]
-        self.kind = np.uint16 if self.n < 1 << 16 else np.uint32
-        h = np.ascontiguousarray((vectors @ directions).T)
-        order = np.argsort(h, axis=1, kind="stable")
-        self.ranked = np.take_along_axis(h, order, axis=1)
-        self.place = np.empty((self.m, self.n), self.kind)
-        np.put_along_axis(self.place, order, np.arange(self.n, dtype=self.kind)[None, :], axis=1)
-
-    def collisions(self, h: np.ndarray, half: float) -> np.ndarray:
-        """In how many directions each vector lies in the window of ``half`` around each query; ``h`` is m x queries.
-
-        A window is a range of places, found by binary search; a vector is inside if its place is.
-        """
-        counts = np.zeros((h.shape[1], self.n), np.uint8)
-        offset = np.empty(counts.shape, self.kind)
-        inside = np.empty(counts.shape, bool)
-        for j in range(self.m):
-            lo = np.searchsorted(self.ranked[j], h[j] - np.float32(half), side="left").astype(self.kind)
-            hi = np.searchsorted(self.ranked[j], h[j] + np.float32(half), side="right").astype(self.kind)
-            np.subtract(self.place[j], lo[:, None], out=offset)  # unsigned: places below lo wrap to large values
-            np.less(offset, (hi - lo)[:, None], out=inside)
-            np.add(counts, inside.view(np.uint8), out=counts)
-        return counts
-
-
 def _slack(q8: np.ndarray) -> np.ndarray:
     """The angle by which rounding may have moved each vector: every value by half a step at most."""
     x = q8.astype(np.float64)
@@ -142,6 +158,14 @@ def _ranks(q: np.ndarray) -> np.ndarray:
     return np.arange(len(q)) - np.maximum.accumulate(np.where(head, np.arange(len(q)), 0))
 
 
+def _similarities(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    out = np.empty(len(i), np.float32)
+    for at in range(0, len(i), 1 << 13):  # the gathered rows stay in the cache
+        some = slice(at, at + (1 << 13))
+        np.einsum("ij,ij->i", a[i[some]], b[j[some]], out=out[some])
+    return out
+
+
 def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, same: bool, slack: tuple[np.ndarray, np.ndarray], table: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query, point, open queries, open points): pairs that may have the rule's similarity and be among the k + 2 best of the query.
 
@@ -149,27 +173,30 @@ def collision_search(queries: np.ndarray, points: np.ndarray, rule: KnnRule, sam
     is marked open, as are its points, and has no pairs.
     """
     directions = _directions(rule.dim, rule.projections, table)  # of each table its own: a pair that fails in one may pass in another
-    arrays = SortedProjections(points, directions)
+    grid = on_grid((points @ directions).T)
     n = len(points)
+    blocks = [(at, SortedArrays(grid[:, at : at + POINTS])) for at in range(0, n, POINTS)]
+    asked = grid if same else on_grid((queries @ directions).T)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     open_queries, open_points = np.zeros(len(queries), bool), np.zeros(n, bool)
-    step = max(8, (1 << 17) // max(n, 1))
+    step = max(QUERIES, min(len(queries), (1 << 22) // max(n, 1)))
     widest = slack[0].max() + slack[1].max()
     floor = math.cos(min(math.acos(rule.min_similarity) + widest, math.pi)) - NOISE
     for at in range(0, len(queries), step):
         block = queries[at : at + step]
-        h = np.ascontiguousarray((block @ directions).T)
         active = np.arange(len(block))
         kept: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for radius in rule.schedule:
-            counts = arrays.collisions(h[:, active], rule.half_width * radius)
-            q, p = np.nonzero(counts >= rule.collisions)
+            windows = asked[:, at + active]
+            half = math.ceil(rule.half_width * radius / STEP)
+            met = [(q, p + start) for start, arrays in blocks for q, p in (arrays.collided(windows, half, rule.collisions),)]
+            q, p = (np.concatenate(z) for z in zip(*met))
             q = active[q]
             live = np.zeros(len(block), bool)
             live[active] = True
             if same:
                 q, p = q[q + at != p], p[q + at != p]
-            s = np.einsum("ij,ij->i", block[q], points[p])
+            s = _similarities(block, points, q, p)
             good = s >= floor
             q, p, s = q[good], p[good], s[good]
             low, high = _bounds(s, slack[0][q + at] + slack[1][p])
@@ -280,28 +307,18 @@ def _unit(q8: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _levels(classes: int, dim: int) -> int:
-    """How many extreme coordinates name a cell, so that an even cell has about CELL_ROWS classes."""
-    return max(1, math.ceil(math.log(max(classes / CELL_ROWS, 1)) / math.log(2 * dim)))
-
-
-def route(classes: DataFrame, rule: KnnRule, levels: int) -> DataFrame:
+def route(classes: DataFrame, rule: KnnRule, routing: Routing) -> DataFrame:
     """(cell, c1, c2, q8): every class once for each table."""
-    tables = rule.table_count(levels)
-    width = 2 * rule.dim
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _unit(_bytes(batch.column(2), rule.dim))
-            rotations = _rotations(rule.dim, tables * levels)
-            for t in range(tables):
+            for t in range(routing.tables):
                 cell = np.full(len(x), t, np.int64)
-                for level in range(levels):
-                    y = x @ rotations[t * levels + level]
-                    top = np.abs(y).argmax(axis=1)
-                    cell = cell * width + 2 * top + (y[np.arange(len(y)), top] > 0)
+                for level, dims in enumerate(routing.dims):
+                    cell = cell * (2 * dims) + _extreme(x @ _rotation(rule.dim, t, level)[:, :dims])
                 yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], names=["cell", "c1", "c2", "q8"])
 
     return classes.mapInArrow(run, "cell long, c1 long, c2 long, q8 binary")
@@ -330,7 +347,19 @@ def _found(classes: np.ndarray, task: tuple[np.ndarray, np.ndarray, np.ndarray],
     return pa.RecordBatch.from_arrays(columns, names=["a1", "a2", "b1", "b2", "cell", "i", "j", "role"])
 
 
-def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int, levels: int) -> DataFrame:
+def _inner_cells(x: np.ndarray, rule: KnnRule, table: int) -> Iterator[np.ndarray]:
+    """Rows of a routed cell that are compared with one another."""
+    dims, times = rule.inner_cuts(len(x))
+    if not dims:
+        yield np.arange(len(x))
+        return
+    for k in range(times):
+        cell = _extreme(x @ _rotation(rule.dim, table, 1000 + k)[:, :dims])
+        order = np.argsort(cell, kind="stable")
+        yield from np.split(order, np.flatnonzero(np.diff(cell[order])) + 1)
+
+
+def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int, routing: Routing) -> DataFrame:
     """Distinct pairs (a1, a2, b1, b2) with role 0: b may be among the best of a in some cell; other roles: class a takes part in task (cell, i, j) of ``dense_neighbours``."""
     placed = tasks.repartition(parts, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
@@ -340,33 +369,34 @@ def cell_neighbours(tasks: DataFrame, rule: KnnRule, parts: int, levels: int) ->
         q8 = _bytes(table.column(6), rule.dim)
         x, slack = _unit(q8), _slack(q8)
         head = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-        pairs = []
         role = np.zeros(len(cell), np.int32)
+        none = np.zeros(0, np.int32)
         for a, b in zip(head.tolist(), np.r_[head[1:], len(cell)].tolist()):
-            if b - a < 2:
-                continue
-            rows, table_no = np.arange(a, b), int(cell[a]) // (2 * rule.dim) ** levels
-            if i[a] == j[a]:
-                sides = [(rows, rows, True)]
-            else:
-                left, right = rows[block[a:b] == i[a]], rows[block[a:b] == j[a]]
-                sides = [(left, right, False), (right, left, False)]
-            for q_rows, p_rows, same in sides:
-                if len(q_rows) and len(p_rows):
-                    q, p, open_q, open_p = collision_search(x[q_rows], x[p_rows], rule, same, (slack[q_rows], slack[p_rows]), table_no)
-                    pairs.append((q_rows[q], p_rows[p]))
-                    role[q_rows[open_q]] |= _QUERY
-                    role[p_rows[open_p]] |= _POINT
-        if pairs:
+            pairs = [(none, none)]
+            table_no = int(cell[a]) // routing.cells
+            for inner in _inner_cells(x[a:b], rule, table_no):
+                rows = a + inner
+                if i[a] == j[a]:
+                    sides = [(rows, rows, True)]
+                else:
+                    left, right = rows[block[rows] == i[a]], rows[block[rows] == j[a]]
+                    sides = [(left, right, False), (right, left, False)]
+                for q_rows, p_rows, same in sides:
+                    if len(q_rows) > same and len(p_rows):
+                        q, p, open_q, open_p = collision_search(x[q_rows], x[p_rows], rule, same, (slack[q_rows], slack[p_rows]), table_no)
+                        pairs.append((q_rows[q], p_rows[p]))
+                        role[q_rows[open_q]] |= _QUERY
+                        role[p_rows[open_p]] |= _POINT
             q, p = (np.concatenate(z) for z in zip(*pairs))
-            distinct = np.unique(np.column_stack([c1[q], c2[q], c1[p], c2[p]]), axis=0)
-            none = np.zeros(len(distinct), np.int32)
-            yield _found(distinct, (none, none, none), none)
+            if len(q):
+                distinct = np.unique(np.column_stack([c1[q], c2[q], c1[p], c2[p]]), axis=0)
+                zero = np.zeros(len(distinct), np.int32)
+                yield _found(distinct, (zero, zero, zero), zero)
         again = np.flatnonzero(role)
         if len(again):
             right = (i[again] != j[again]) & (block[again] == j[again])
-            none = np.zeros(len(again), np.int64)
-            yield _found(np.column_stack([c1[again], c2[again], none, none]), (cell[again], i[again], j[again]), role[again] | np.where(right, _RIGHT, 0))
+            zero = np.zeros(len(again), np.int64)
+            yield _found(np.column_stack([c1[again], c2[again], zero, zero]), (cell[again], i[again], j[again]), role[again] | np.where(right, _RIGHT, 0))
 
     return placed.mapInArrow(lambda batches: whole_groups(batches, 3, 8192, group), _FOUND).distinct()
 
@@ -430,10 +460,10 @@ def most_similar(rows: DataFrame, key: str = "id", vector: str = "embedding", ru
     members = base.select("id", "c1", "c2").distinct()
     classes = base.groupBy("c1", "c2").agg(F.first("q8").alias("q8"), F.first("vec").alias("vec"))
     count = base.select("c1", "c2").distinct().count()
-    levels = _levels(count, rule.dim)
-    routed = route(classes.select("c1", "c2", "q8"), rule, levels)
-    parts = tasks_for(rows.sparkSession, count * rule.table_count(levels), TASK_ROWS)
-    found = materialize(cell_neighbours(_spread(routed), rule, parts, levels), "vector-pairs")
+    routing = rule.routing(count)
+    routed = route(classes.select("c1", "c2", "q8"), rule, routing)
+    parts = tasks_for(rows.sparkSession, count * routing.tables, TASK_ROWS)
+    found = materialize(cell_neighbours(_spread(routed), rule, parts, routing), "vector-pairs")
     pairs, again = found.where("role = 0").select("a1", "a2", "b1", "b2"), found.where("role > 0")
     dense = again.count()
     if dense:
@@ -453,7 +483,10 @@ def most_similar(rows: DataFrame, key: str = "id", vector: str = "embedding", ru
     inside = firsts.withColumn("similarity", F.lit(1.0))
     options = inside.unionByName(outside)
     best = Window.partitionBy("id").orderBy(closeness, "other")
-    found = members.join(options, ["c1", "c2"]).where(F.col("id") != F.col("other")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rule.k)
+    large = large_classes(members)
+    options = with_parts(options, large, "c1", "c2").withColumn("part", every_part()).drop("parts")
+    rows = with_parts(members, large, "c1", "c2").withColumn("part", own_part()).drop("parts")
+    found = rows.join(options, ["c1", "c2", "part"]).where(F.col("id") != F.col("other")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= rule.k)
     return found.select("id", F.col("other").alias("neighbour"), "rank", "similarity")
 
 

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.classes import BROADCAST_ROWS, every_part, large_classes, own_part, with_parts
 from corpusloom.llm.hamming_trie import BITS, trie_self_join
 from corpusloom.llm.shingles import hash_words, mix64, sequence_hash, shingle
 from corpusloom.session import materialize, release
@@ -38,8 +39,6 @@ SCAN_CHARS = 1 << 20
 JOIN_ROWS = 1 << 17
 FILTER_BITS = 1 << 28
 KEY_BITS = 16  # of the filter for each key, while FILTER_BITS allow
-BROADCAST_ROWS = 200_000  # hot tries or large classes sent to every executor at most (some 10 MB)
-COPIES = 1000  # rows of one class that stay together
 BAND_ROWS = 3
 
 
@@ -310,23 +309,23 @@ class NearDups:
 
     def pairs(self) -> DataFrame:
         """Every pair of rows: across linked classes, and within each class."""
-        large = _large_classes(self.members)
-        m = _parts(self.members, large, "c1", "c2").withColumn("part", _part())
+        large = large_classes(self.members)
+        m = with_parts(self.members, large, "c1", "c2").withColumn("part", own_part())
         a = m.select("record_kind", F.col("id").alias("ia"), F.col("c1").alias("a1"), F.col("c2").alias("a2"), "part")
         b = m.select(F.col("id").alias("ib"), F.col("c1").alias("b1"), F.col("c2").alias("b2"), "part")
-        links = _parts(self.links.select("a1", "a2", "b1", "b2"), large, "a1", "a2").withColumn("part", _all_parts()).drop("parts")
+        links = with_parts(self.links.select("a1", "a2", "b1", "b2"), large, "a1", "a2").withColumn("part", every_part()).drop("parts")
         left = links.join(a, ["a1", "a2", "part"]).select("b1", "b2", "record_kind", "ia")
-        right = _parts(left, large, "b1", "b2").withColumn("part", _all_parts()).drop("parts")
+        right = with_parts(left, large, "b1", "b2").withColumn("part", every_part()).drop("parts")
         across = right.join(b, ["b1", "b2", "part"]).where("ia <> ib").select("record_kind", "ia", "ib")
         return across.unionByName(_copies(m)).select("record_kind", F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b")).distinct()
 
     def groups(self) -> DataFrame:
         """One row per text: its class and the number of other classes that it is linked with."""
-        large = _large_classes(self.members)
+        large = large_classes(self.members)
         degree = self.links.select(_both_ends()).groupBy("c.c1", "c.c2").agg(F.count(F.lit(1)).alias("links"))
         named = self.members.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies")).join(degree, ["c1", "c2"], "left")
-        named = _parts(named, large, "c1", "c2").withColumn("part", _all_parts()).drop("parts")
-        rows = _parts(self.members, large, "c1", "c2").withColumn("part", _part()).drop("parts")
+        named = with_parts(named, large, "c1", "c2").withColumn("part", every_part()).drop("parts")
+        rows = with_parts(self.members, large, "c1", "c2").withColumn("part", own_part()).drop("parts")
         return rows.join(named, ["c1", "c2", "part"]).select("record_kind", "id", "class_id", "copies", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
 
 
@@ -335,26 +334,6 @@ def _both_ends() -> Column:
     return F.explode(F.array(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")))).alias("c")
 
 
-def _large_classes(members: DataFrame) -> DataFrame:
-    """(c1, c2, parts) of the classes of more than ``COPIES`` rows."""
-    large = materialize(members.groupBy("c1", "c2").agg(F.ceil(F.count(F.lit(1)) / COPIES).cast("int").alias("parts")).where("parts > 1"), "large-classes")
-    return F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
-
-
-def _parts(rows: DataFrame, large: DataFrame, first: str, second: str) -> DataFrame:
-    """Adds how many parts the class of a row is cut into, so that no task of a join by class and part holds a large class."""
-    named = large.select(F.col("c1").alias(first), F.col("c2").alias(second), "parts")
-    return rows.join(named, [first, second], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-
-
-def _part() -> Column:
-    return F.expr("cast(pmod(xxhash64(id), parts) as int)")
-
-
-def _all_parts() -> Column:
-    return F.explode(F.expr("sequence(0, parts - 1)"))
-
-
 def _copies(members: DataFrame) -> DataFrame:
     """Pairs within classes. ``members`` with parts and part."""
     left = members.select("record_kind", "c1", "c2", F.col("id").alias("ia"), "part")

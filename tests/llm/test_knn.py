@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
+from corpusloom.llm import classes
 from corpusloom.llm import knn as K
+from corpusloom.llm import windows as W
 
 RULE = K.KnnRule(k=3, min_similarity=0.85, dim=16, tables=12)
 
@@ -51,13 +53,15 @@ def test_hot_cells_are_split(spark, monkeypatch):
 
 def test_windows_count_collisions():
     rng = np.random.default_rng(5)
-    x = rng.normal(size=(50, 16)).astype(np.float32)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    directions = K._directions(16, 24)
-    arrays = K.SortedProjections(x, directions)
-    h = np.ascontiguousarray((x @ directions).T)
-    want = (np.abs(h[:, :, None] - h[:, None, :]) <= 0.4).sum(axis=0)
-    assert np.abs(arrays.collisions(h, 0.4).astype(int) - want).max() <= 1  # rounding at a window's edge
+    grid = W.on_grid(rng.normal(size=(24, 300)))
+    queries = W.on_grid(rng.normal(size=(24, 700)) * 2)
+    arrays = W.SortedArrays(grid)
+    inside = (np.abs(queries[:, :, None] - grid[:, None, :]) <= 50).sum(axis=0)
+    for least in (1, 9, 24, 25, 40):
+        q, p = arrays.collided(queries, 50, least)
+        want = np.zeros_like(inside, bool)
+        want[q, p] = True
+        assert len(q) == want.sum() and (want == (inside >= least)).all()
 
 
 def test_odd_rows(spark):
@@ -75,18 +79,31 @@ def test_odd_rows(spark):
     assert found(df.where("id = 'near'")) == []
 
 
-@pytest.mark.parametrize(("n", "levels"), [(10, 1), (100_000, 1), (10_000_000, 2), (10**10, 4)])
-def test_levels(n, levels):
-    assert K._levels(n, 64) == levels
+@pytest.mark.parametrize(("n", "coordinates"), [(10, 1), (100_000, 1), (4_000_000, 1), (10_000_000, 2), (10**9, 3)])
+def test_routing_grows_without_leaps(n, coordinates):
+    rule = K.KnnRule()
+    routing = rule.routing(n)
+    assert len(routing.dims) == coordinates and n / routing.cells <= K.ROUTED_ROWS
+    assert routing.tables <= rule.routing(2 * n).tables <= 1.25 * routing.tables + 1
 
 
-def test_two_levels_still_find_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(K, "_levels", lambda n, dim: 2)
+@pytest.mark.parametrize(("routed", "cell"), [(2, 1024), (1 << 15, 8), (1, 4)])
+def test_small_cells_still_find_neighbours(spark, monkeypatch, routed, cell):
+    monkeypatch.setattr(K, "ROUTED_ROWS", routed)
+    monkeypatch.setattr(K, "CELL_ROWS", cell)
     rows = data(4, 80)
     want = brute(rows, RULE)
     assert len(want & set(found(spark.createDataFrame(rows, "id string, embedding array<float>")))) >= 0.95 * len(want)
 
 
+def test_a_class_of_many_equal_vectors_is_cut(spark, monkeypatch):
+    rows = [(f"{i:03}", [1.0] + [0.0] * 15) for i in range(60)] + [(f"x{i}", [1.0, 0.1 * i] + [0.0] * 14) for i in range(4)]
+    df = spark.createDataFrame(rows, "id string, embedding array<float>")
+    before = set(found(df))
+    monkeypatch.setattr(classes, "COPIES", 7)
+    assert set(found(df)) == before == brute(rows, RULE)
+
+
 def tight(seed, spread, size=150, dim=16):
     """Clusters of near-copies: the gaps between their similarities are below the rounding to one byte."""
     rng = np.random.default_rng(seed)
@@ -126,12 +143,14 @@ def test_bounds_hold_for_rounded_vectors():
     assert (low <= exact).all() and (exact <= high).all()
 
 
-def test_miss_rate_is_the_same_at_every_level():
+@pytest.mark.parametrize("n", [1000, 10**5, 10**6, 3 * 10**7, 10**9])
+def test_miss_rate_is_the_same_at_every_size(n):
     rule = K.KnnRule()
-    one = K._agreement(rule.dim, rule.min_similarity)
-    assert 0.36 < one < 0.39 and rule.table_count(1) == rule.tables
-    for levels in (2, 3, 4):
-        assert (1 - one**levels) ** rule.table_count(levels) <= (1 - one) ** rule.tables * 1.0001
+    assert 0.36 < rule.agreement() < 0.39
+    routing = rule.routing(n)
+    inner, times = rule.inner_cuts(n / routing.cells)
+    met = np.prod([rule.agreement(d) for d in routing.dims]) * (1 - (1 - rule.agreement(inner)) ** times if inner else 1)
+    assert (1 - met) ** routing.tables <= (1 - rule.agreement()) ** rule.tables * 1.0001
 
 
 def test_pairs_at_the_limit_collide_in_some_table():

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from corpusloom.llm import classes
 from corpusloom.llm import neardup as N
 from corpusloom.llm.hamming_trie import trie_self_join
 from corpusloom.llm.shingles import hash_words, sequence_hash, shingle
@@ -89,9 +90,10 @@ def test_hot_tries_and_classes_are_split(spark, monkeypatch):
     df = spark.createDataFrame(rows, "record_kind string, id string, text string")
     assert {tuple(r) for r in N.near_duplicates(df, RULE).pairs().collect()} == brute(rows, RULE)
     whole = {tuple(r) for r in N.near_duplicates(df, RULE).groups().collect()}
-    monkeypatch.setattr(N, "COPIES", 2)
+    monkeypatch.setattr(classes, "COPIES", 2)
     for broadcast in (0, 100):
         monkeypatch.setattr(N, "BROADCAST_ROWS", broadcast)
+        monkeypatch.setattr(classes, "BROADCAST_ROWS", broadcast)
         dups = N.near_duplicates(df, RULE)
         assert {tuple(r) for r in dups.pairs().collect()} == brute(rows, RULE)
         assert {tuple(r) for r in dups.groups().collect()} == whole
