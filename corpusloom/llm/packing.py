@@ -109,13 +109,18 @@ def _grouped(items: DataFrame, count: int, salt: int) -> DataFrame:
 
 @dataclass
 class Packing:
-    """``placed`` (key, part, continued, size, start_token, container_id) and totals."""
+    """``placed`` (key, part, size, start_token, container_id) and totals."""
 
     placed: DataFrame
     containers: int
     bound: int
     tokens: int
 
+    def split_keys(self) -> DataFrame:
+        """(key) of the items of which different parts lie in different containers."""
+        ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("start_token", "container_id") for f in (F.min, F.max)]
+        return self.placed.groupBy("key").agg(*ends).where("min_start_token < max_start_token AND min_container_id < max_container_id").select("key")
+
 
 def pieces(sizes: DataFrame, capacity: int) -> DataFrame:
     """(key, part, parts, size, start_token): items within the capacity as they are, larger ones cut into full parts and a rest."""
@@ -153,7 +158,6 @@ def fill_containers(sizes: DataFrame, capacity: int) -> Packing:
     placed = packed.select(
         "key",
         "part",
-        F.when(F.col("part") > 0, F.lit(True)).otherwise(F.lit(False)).alias("continued"),
         "size",
         (F.col("part").cast("long") * capacity).alias("start_token"),
         F.concat_ws("-", "round", "grp", "box").alias("container_id"),

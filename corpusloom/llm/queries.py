@@ -64,8 +64,8 @@ def _packed(spark: SparkSession, d: str) -> Packing:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that the packing had to split."""
-    return _packed(spark, d).placed.where("continued").select(F.col("key").alias("doc_id")).distinct()
+    """Documents that lie in more than one container once all are packed."""
+    return _packed(spark, d).split_keys().select(F.col("key").alias("doc_id"))
 
 
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +77,21 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     """Containers used, the certified lower bound, and the share of room used."""
     packing = _packed(spark, d)
     capacity = read_table(spark, d, "containers").agg(F.max("capacity_tokens").alias("capacity"))
-    return capacity.select("capacity", F.lit(packing.containers).cast("bigint").alias("containers"), F.lit(packing.bound).cast("bigint").alias("lower_bound"), F.lit(packing.tokens).cast("bigint").alias("tokens"))
+    totals = {"containers": packing.containers, "lower_bound": packing.bound, "tokens": packing.tokens}
+    used = F.when(F.lit(packing.containers) > 0, F.lit(packing.tokens) / (F.col("capacity").cast("double") * packing.containers))
+    return capacity.select("capacity", *[F.lit(v).cast("bigint").alias(k) for k, v in totals.items()], used.alias("room_used"))
+
+
+def p6_checks(spark: SparkSession, d: str) -> DataFrame:
+    """One row: documents placed, those whose parts do not follow one another without a gap, containers beyond the capacity, and whether no more than a hundredth of the containers could be saved."""
+    packing = _packed(spark, d)
+    placed = packing.placed
+    each = placed.groupBy("key").agg(F.sum("size").alias("size"), F.max(F.col("start_token") + F.col("size")).alias("end"), F.count(F.lit(1)).alias("rows"), F.countDistinct("part").alias("parts"), F.max("part").alias("last"))
+    torn = (F.col("size") != F.col("end")) | (F.col("rows") != F.col("parts")) | (F.col("last") + 1 != F.col("parts"))
+    capacity = read_table(spark, d, "containers").agg(F.max("capacity_tokens").alias("capacity"))
+    fill = placed.groupBy("container_id").agg(F.sum("size").alias("fill")).agg(F.count_if(F.col("fill") > capacity.scalar()).alias("overfull"))
+    near = F.lit(packing.containers <= 1.01 * packing.bound + 1)
+    return each.agg(F.count(F.lit(1)).alias("documents"), F.count_if(torn).alias("torn")).withColumns({"overfull": fill.scalar(), "near_bound": near})
 
 
 def _mixed(spark: SparkSession, d: str) -> Mix:
@@ -93,6 +107,13 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d).report
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """For each source: whether it falls short, whether no document is used too often, and whether the tokens reached are within a fiftieth of the target's (of a short source: of all it may give), which allows for single long texts."""
+    r = _mixed(spark, d).report
+    goal = F.when(F.col("falls_short"), F.col("tokens") * F.col("max_repeats")).otherwise(F.col("target_tokens"))
+    return r.select("source", "falls_short", (F.col("most_copies") <= F.col("max_repeats")).alias("cap_kept"), (F.abs(F.col("used_tokens") - goal) <= 0.02 * goal).alias("on_target"))
+
+
 def p7_copies(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d).copies.select(F.col("key").alias("doc_id"), "source", "tokens", "copies")
 
@@ -109,6 +130,6 @@ def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _quality(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p7_found, p7_shares, p7_copies, p8_found, p8_statistics)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p6_checks, p7_found, p7_shares, p7_checks, p7_copies, p8_found, p8_statistics)}
 
 __all__ = ["QUERIES", "SQL"]

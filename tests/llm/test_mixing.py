@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm.mixing import clean_source, mix_sources
+from corpusloom.llm.mixing import balance, clean_source, mix_sources
 
 TARGETS = "source string, target_share double, max_repeats int, note string"
 
@@ -44,3 +44,18 @@ def test_edges(spark):
     assert report["a"].falls_short and report["b"].falls_short and report["b"].used_tokens == 0
     assert report["z"].used_tokens == 0 and not report["z"].falls_short
     assert mix_sources(spark.createDataFrame(rows, "key long, source string, tokens long"), targets.where("false")).report.count() == 0
+
+
+def test_short_sources_are_those_whose_dual_has_no_solution(spark):
+    counts = spark.createDataFrame([("a", 10, 5), ("a", 0, 3), ("b", 10, 5), ("c", 7, 1), ("d", 0, 4)], "source string, tokens long, n long")
+    lam, short = balance(counts, {"a": 99.0, "b": 101.0, "c": 14.0, "d": 1.0, "none": 1.0, "idle": 0.0}, dict.fromkeys("abcd", 2.0) | {"none": 1.0, "idle": 1.0}, 8.0)
+    assert short == {"b", "d", "none"}  # 2 x 50 tokens are less than 101, but not than 99; c needs all it may give
+    assert 5 * 10 * min(2, np.exp(lam["a"] * 10 / 8)) == pytest.approx(99)
+
+
+def test_large_target_tables_are_joined_without_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"s{i % 4}", 10 + i % 7) for i in range(400)], "key long, source string, tokens long")
+    targets = spark.createDataFrame([(f"s{k}", s, 3, "") for k, s in enumerate((0.1, 0.2, 0.3, 0.4))], TARGETS)
+    want = {r.source: r.used_tokens for r in mix_sources(rows, targets).report.collect()}
+    monkeypatch.setattr("corpusloom.llm.mixing.BROADCAST_ROWS", 0)
+    assert {r.source: r.used_tokens for r in mix_sources(rows, targets).report.collect()} == want

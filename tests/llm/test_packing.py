@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusloom.llm import packing as P
 
@@ -75,7 +76,9 @@ def test_operator(spark, monkeypatch):
     first = P._pack(P._grouped(P.pieces(df, 100), len(sizes) + 9, 0), 100, "0").select("grp", "box").distinct().count()
     assert result.bound <= result.containers < first  # the exchange saves containers
     assert result.tokens == sum(sizes.values())
-    assert {r.key for r in result.placed.where("continued").collect()} == {802, 803}
+    assert sorted(r.key for r in result.split_keys().collect()) == [802, 803]
+    together = P.Packing(result.placed.withColumn("container_id", F.lit("x")), 1, 1, 1)
+    assert together.split_keys().count() == 0  # what is split follows from where the parts lie
 
 
 def test_one_partition_is_near_its_bound(spark):
