@@ -3,13 +3,13 @@
 Among all document rates between 0 and a source's ``max_repeats`` that give every source its target tokens, the one nearest to "each document
 once" in relative entropy has the form ``min(max_repeats, exp(lambda * tokens))`` with one multiplier a source. The multipliers solve a convex
 dual; each Newton step takes gradient and curvature from one distributed aggregation, and a bracket around every root keeps the steps safe.
-The rates are then rounded into whole copies by a hash of the document, and a second aggregation shifts each source's rounding threshold so that the
-tokens of the copies meet the target.
+The rates are then rounded into whole copies by a hash of the document, and a second aggregation shifts the rounding threshold of each source, from its
+longest documents to its shortest, so that the tokens of the copies meet the target.
 
 A source is *short* if its dual has no finite solution: the steps end with every document at its cap and tokens still missing.
 
 Scale: iterations run on counts by (source, tokens), not on documents; the driver holds a few numbers for each source of ``mix_targets``, which are joined
-to the rows (broadcast up to ``BROADCAST_ROWS`` sources). Thresholds are found by a window over at most ``BUCKETS`` sums a source.
+to the rows (broadcast up to ``BROADCAST_ROWS`` rows). Thresholds are found from at most ``BUCKETS`` sums a source and class of lengths.
 A source with a third of all documents is pre-aggregated map-side like any other.
 
 Defined results: documents whose source is not a target take no part; NULL and empty texts take part with 0 tokens and get one copy; a source
@@ -22,8 +22,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.session import materialize, release
@@ -129,13 +131,14 @@ def mix_sources(sized: DataFrame, targets: DataFrame) -> Mix:
     # the hash is the threshold of a document; key and tokens of repeated rows are equal, so they round alike
     threshold = F.expr("pmod(xxhash64(key, 77), 1048576)") / F.lit(1048576.0)
     rated = part.join(params, "source").withColumn("rate", _rate(F.col("tokens"), scale)).withColumn("mark", F.col("rate") + threshold)
-    shifts = _threshold_shifts(rated)
-    shift = _table(spark, {"source": list(shifts), "lam": list(shifts.values())}, _TYPES).withColumnRenamed("lam", "shift")
+    rated = rated.withColumn("size_class", F.floor(F.log2(F.greatest("tokens", F.lit(1)))).cast("int"))
+    shifts = materialize(_threshold_shifts(rated), "mix-shifts")
+    shift = F.broadcast(shifts) if len(names) <= BROADCAST_ROWS // 64 else shifts  # at most 63 classes a source
     moved = F.floor(F.col("mark") + F.coalesce("shift", F.lit(0.0)))
     copies = F.when(F.col("rate") == 0, 0).when(F.col("short"), F.col("rate")).otherwise(F.least(F.greatest(moved, F.lit(0)), F.col("cap"))).cast("int")
-    result = materialize(rated.join(shift, "source", "left").select("key", "source", "tokens", "rate", copies.alias("copies")), "mix-copies")
+    result = materialize(rated.join(shift, ["source", "size_class"], "left").select("key", "source", "tokens", "rate", copies.alias("copies")), "mix-copies")
 
-    release(part, histogram)
+    release(part, histogram, shifts)
     used = result.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"))
     plan = spark.createDataFrame([(s, share[s], int(cap[s]), goal[s], s in short) for s in names], "source string, target_share double, max_repeats int, target_tokens double, falls_short boolean")
     all_used = float(used.agg(F.sum("used_tokens")).first()[0] or 0)
@@ -145,23 +148,39 @@ def mix_sources(sized: DataFrame, targets: DataFrame) -> Mix:
     return Mix(result, report)
 
 
-def _threshold_shifts(rated: DataFrame) -> dict[str, float]:
-    """For each source that can meet its goal how far to move the rounding threshold so that the copies' tokens come nearest to the goal.
+def _shifts(sums: pd.DataFrame) -> pd.DataFrame:
+    """Of one source, for each size class, how far to move the rounding threshold. Rows: sums by class and bucket of the mark's fraction.
 
-    Marks just below the next whole number are moved up, or those just above one down, by whole buckets of their fraction.
+    Marks just below the next whole number are moved up, or those just above one down, by whole buckets. What a class misses
+    its expected tokens by is carried to the next smaller one, so that a few long documents are made up for by many short ones.
     """
-    free = rated.where(~F.col("short") & (F.col("rate") > 0))
+    out, carry = [], 0.0
+    for size in sorted(sums["size_class"].unique(), reverse=True):
+        rows = sums[sums["size_class"] == size]
+        off = carry + float(rows["expected"].sum() - rows["got"].sum())
+        rising = off > 0
+        rows = rows.sort_values("bucket", ascending=not rising)
+        left = np.abs(off - np.cumsum(rows["up"] if rising else -rows["down"]))
+        k = int(np.argmin(left))
+        bucket = float(rows["bucket"].iloc[k])
+        shift, moved = ((1 - bucket / BUCKETS) if rising else -(bucket + 1) / BUCKETS), float((rows["up"] if rising else -rows["down"]).iloc[: k + 1].sum())
+        if left.iloc[k] >= abs(off):
+            shift, moved = 0.0, 0.0
+        carry = off - moved
+        out.append(shift)
+    classes = sorted(sums["size_class"].unique(), reverse=True)
+    return pd.DataFrame({"source": sums["source"].iloc[0], "size_class": np.array(classes, np.int32), "shift": out})
+
+
+def _threshold_shifts(rated: DataFrame) -> DataFrame:
+    """(source, size_class, shift) of the sources that can meet their goal; a class holds documents of like numbers of tokens."""
     base = F.floor("mark")
     bucket = F.floor((F.col("mark") - base) * BUCKETS).cast("int")
     tokens = F.col("tokens")
-    sums = free.groupBy("source", "goal", bucket.alias("bucket")).agg(
-        F.sum(base * tokens).alias("got"), F.sum(F.when(base < F.col("cap"), tokens).otherwise(0)).alias("up"), F.sum(F.when(base > 0, tokens).otherwise(0)).alias("down")
+    sums = rated.where(~F.col("short") & (F.col("rate") > 0)).groupBy("source", "size_class", bucket.alias("bucket")).agg(
+        F.sum(F.col("rate") * tokens).alias("expected"),
+        F.sum(base * tokens).cast("double").alias("got"),
+        F.sum(F.when(base < F.col("cap"), tokens).otherwise(0)).cast("double").alias("up"),
+        F.sum(F.when(base > 0, tokens).otherwise(0)).cast("double").alias("down"),
     )
-    whole = Window.partitionBy("source")
-    off = F.col("goal") - F.sum("got").over(whole)
-    steps = sums.withColumn("off", off).withColumns({"order": F.when(F.col("off") > 0, -F.col("bucket")).otherwise(F.col("bucket")), "step": F.when(F.col("off") > 0, F.col("up")).otherwise(-F.col("down"))})
-    left = F.abs(F.col("off") - F.sum("step").over(whole.orderBy("order")))
-    shift = F.when(F.col("off") > 0, 1 - F.col("bucket") / F.lit(float(BUCKETS))).otherwise(-(F.col("bucket") + 1) / F.lit(float(BUCKETS)))
-    best = steps.withColumns({"left": left, "shift": shift}).groupBy("source").agg(F.min(F.struct("left", "order", "shift")).alias("best"), F.first("off").alias("off"))
-    rows = best.select("source", F.when(F.col("best.left") < F.abs("off"), F.col("best.shift")).otherwise(0.0).alias("shift")).collect()  # one row a source
-    return {r.source: float(r.shift) for r in rows}
+    return sums.groupBy("source").applyInPandas(_shifts, "source string, size_class int, shift double")

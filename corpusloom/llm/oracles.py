@@ -19,6 +19,9 @@ _PIECES = """
     piece AS (SELECT c.id AS page_id, CAST(c.piece_no AS INTEGER) AS piece_no, CAST(c.a AS INTEGER) AS start_char,
         CAST(coalesce(lead(c.b) OVER (PARTITION BY c.id ORDER BY c.piece_no), s.l) AS INTEGER) AS end_char FROM cut c JOIN src s USING (id))"""
 
+_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \u0085\u00a0\u2028\u2029\u3000"
+_CLOSING = ".!?。！？:;\"”’)"
+
 # classes are texts of equal words; ``pair`` links different classes
 _GROUPS = """
     WITH t AS (SELECT 'page' AS kind, id, content FROM pages UNION ALL SELECT 'chunk', id, content FROM chunks),
@@ -39,6 +42,11 @@ _SHORT = """
 SQL = {
     "p6_found": """SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '\\w+|[^\\w\\s]')) > (SELECT max(capacity_tokens) FROM containers)""",
     "p6_checks": "SELECT CAST(count(*) AS BIGINT) AS documents, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS overfull, true AS near_bound FROM documents",
+    "p8_line_figures": f"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        c AS (SELECT doc_id, text, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, '{_SPACES}')), lambda x: x <> '') AS lines FROM t)
+        SELECT doc_id, len(lines) = 0 AS blank, CASE WHEN len(lines) = 0 THEN 0 ELSE round(coalesce(list_sum(list_transform(list_filter(lines, lambda x: contains('{_CLOSING}', right(x, 1))), lambda x: length(x))), 0) / list_sum(list_transform(lines, lambda x: length(x))), 6) END AS punctuated_lines,
+            CASE WHEN len(lines) = 0 THEN 0 ELSE round(ln(1 + length(text) / len(lines)), 6) END AS log_line_length FROM c""",
     "p7_found": _SHORT + " SELECT source FROM short WHERE falls_short",
     "p7_checks": _SHORT + " SELECT source, falls_short, true AS cap_kept, true AS on_target FROM short",
     "p3_groups": _GROUPS

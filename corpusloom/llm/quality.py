@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.text_stats import FEATURES, text_statistics
+from corpusloom.llm.text_stats import FEATURES, CommonWords, batch_statistics
 from corpusloom.session import materialize
 
 CLASSES = ("prose", "list", "table", "junk")
@@ -31,7 +31,6 @@ COMPONENTS = 64
 LABELS_PER_COMPONENT = 4
 ROWS_PER_DIMENSION = 3  # a component has at least so many rows on average
 MAX_LABELLED = 50_000
-MAX_WORDS = 100_000
 STEPS = 12
 SEED_STEPS = 40
 RIDGE = 0.02
@@ -41,13 +40,11 @@ TREE = 16
 
 def document_statistics(documents: DataFrame, common_words: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, blank, one column a statistic) for every document."""
-    rows = common_words.where(F.col("word").isNotNull()).select("lang", "word").limit(MAX_WORDS + 1).collect()
-    if len(rows) > MAX_WORDS:
-        raise ValueError(f"more than {MAX_WORDS} common words")
+    rows = common_words.where(F.col("word").isNotNull()).select("lang", "word").distinct().collect()  # a fixed list, held as hashes
     by_language: dict[str | None, set[str]] = {}
     for r in rows:
         by_language.setdefault(r.lang, set()).add(r.word)
-    common = tuple(frozenset(v) for _, v in sorted(by_language.items(), key=lambda x: str(x[0])))
+    common = CommonWords(tuple(frozenset(v) for _, v in sorted(by_language.items(), key=lambda x: str(x[0]))))
     source = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = source.select("key", F.lit(True).alias("blank"), *[F.lit(0.0).alias(f) for f in FEATURES]).schema
 
@@ -56,7 +53,7 @@ def document_statistics(documents: DataFrame, common_words: DataFrame, key: str
             texts = batch.column(1).to_pylist()
             if not texts:
                 continue
-            figures = np.array([text_statistics(t or "", common) for t in texts])
+            figures = batch_statistics([t or "" for t in texts], common)
             blank = pa.array([not (t and t.strip()) for t in texts])
             yield pa.RecordBatch.from_arrays([batch.column(0), blank, *[pa.array(c) for c in figures.T]], names=["key", "blank", *FEATURES])
 

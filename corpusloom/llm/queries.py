@@ -10,7 +10,7 @@ from corpusloom.llm.mixing import Mix, mix_sources
 from corpusloom.llm.neardup import NearDupRule, NearDups, near_duplicates
 from corpusloom.llm.oracles import SQL
 from corpusloom.llm.packing import Packing, fill_containers
-from corpusloom.llm.quality import text_quality
+from corpusloom.llm.quality import document_statistics, text_quality
 from corpusloom.llm.splitting import split_texts
 from corpusloom.llm.tokens import Tokenizer, count_tokens
 from corpusloom.sources.tables import read_table
@@ -108,10 +108,10 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_checks(spark: SparkSession, d: str) -> DataFrame:
-    """For each source: whether it falls short, whether no document is used too often, and whether the tokens reached are within a fiftieth of the target's (of a short source: of all it may give), which allows for single long texts."""
+    """For each source: whether it falls short, whether no document is used too often, and whether the tokens reached are within half a hundredth of the target's (of a short source: of all it may give)."""
     r = _mixed(spark, d).report
     goal = F.when(F.col("falls_short"), F.col("tokens") * F.col("max_repeats")).otherwise(F.col("target_tokens"))
-    return r.select("source", "falls_short", (F.col("most_copies") <= F.col("max_repeats")).alias("cap_kept"), (F.abs(F.col("used_tokens") - goal) <= 0.02 * goal).alias("on_target"))
+    return r.select("source", "falls_short", (F.col("most_copies") <= F.col("max_repeats")).alias("cap_kept"), (F.abs(F.col("used_tokens") - goal) <= 0.005 * goal).alias("on_target"))
 
 
 def p7_copies(spark: SparkSession, d: str) -> DataFrame:
@@ -130,6 +130,12 @@ def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _quality(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p6_checks, p7_found, p7_shares, p7_checks, p7_copies, p8_found, p8_statistics)}
+def p8_line_figures(spark: SparkSession, d: str) -> DataFrame:
+    """Those of the statistics that depend on lines only."""
+    figures = document_statistics(read_table(spark, d, "documents"), read_table(spark, d, "common_words"))
+    return figures.select(F.col("key").alias("doc_id"), "blank", *[F.round(c, 6).alias(c) for c in ("punctuated_lines", "log_line_length")])
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_groups, p4_found, p4_piece_stats, p6_found, p6_containers, p6_report, p6_checks, p7_found, p7_shares, p7_checks, p7_copies, p8_found, p8_statistics, p8_line_figures)}
 
 __all__ = ["QUERIES", "SQL"]

@@ -20,7 +20,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
         size = 1 << (n - 1).bit_length()
@@ -86,7 +86,7 @@ def _hash_blocks(blocks: list[tuple[int, bytes]], counts: np.ndarray) -> np.ndar
     word = _WORD[b]
     edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
     first, last = edge[0::2], edge[1::2]
-    power, inverse = _power_tables(len(b))
+    power, inverse = power_tables(len(b))
     prefix = np.empty(len(b) + 1, np.uint64)
     prefix[0] = 0
     np.cumsum((b + np.uint64(1)) * power[: len(b)], dtype=np.uint64, out=prefix[1:])
@@ -121,7 +121,7 @@ def sequence_hash(words: Words) -> tuple[np.ndarray, np.ndarray]:
     n = len(words.offsets) - 1
     count = np.diff(words.offsets)
     place = np.arange(len(words.hashes)) - np.repeat(words.offsets[:-1], count)
-    power, _ = _power_tables(int(count.max(initial=0)) + 1)
+    power, _ = power_tables(int(count.max(initial=0)) + 1)
     out = []
     for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
         term = mix64(words.hashes ^ np.uint64(salt)) * power[place]

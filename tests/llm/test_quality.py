@@ -1,17 +1,24 @@
 import random
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from corpusloom.llm import quality as Q
-from corpusloom.llm.text_stats import FEATURES, text_statistics
+from corpusloom.llm import text_stats
+from corpusloom.llm.text_stats import FEATURES, CommonWords, batch_statistics
+
+sys.path.insert(0, str(Path(__file__).parent))
+from plain_statistics import text_statistics as plain  # noqa: E402
 
 EN = frozenset("the of and to a in is that it for you as with be on this are by not or if from when can at its".split())
+WORDS = CommonWords((EN,))
 INDEX = {f: i for i, f in enumerate(FEATURES)}
 
 
 def figure(text, name):
-    return text_statistics(text, (EN,))[INDEX[name]]
+    return batch_statistics([text], WORDS)[0, INDEX[name]]
 
 
 def test_figures():
@@ -22,11 +29,23 @@ def test_figures():
     assert figure("1234 5678", "digit_ratio") == 1
     assert figure("Same line here.\n" * 30, "repeated_segments") > 0.9
     assert figure("これは画面が表示される前に一度だけ作成されます。", "running_share") == 1
-    assert text_statistics("", (EN,)) == text_statistics(" \n\t", (EN,)) == [0.0] * len(FEATURES)
+    assert not batch_statistics(["", " \n\t"], WORDS).any()
     for odd in ("\ud800", "😀" * 50, "x" * 200_000, "!" * 200_000 + "a", "a " * 100_000 + "|", " = " * 50_000, "\x00", "a"):
-        values = text_statistics(odd, (EN,))
-        assert len(values) == len(FEATURES) and np.isfinite(values).all()
-    assert np.isfinite(text_statistics("word", ())).all()
+        assert np.isfinite(batch_statistics([odd, "a"], WORDS)).all()
+    assert np.isfinite(batch_statistics(["word"], CommonWords(()))).all() and batch_statistics([], WORDS).shape == (0, len(FEATURES))
+
+
+def test_figures_equal_the_plain_ones(monkeypatch):
+    """Texts of pieces that open, close and break lines, cells, segments and sentences, in blocks of several texts."""
+    rng = random.Random(5)
+    pieces = ["the value of it", "Name", " : ", " | ", "\t", "\n", "\n\n", "- ", "* ", "1. ", "(a) ", " - ", "    ", ". ", "... ", "? ", "!", ";", "”", "ÄÖ é", "これは画面が", "。", "カタカナ、", "漢字", "12.5", "x = y", "# ", "_a_", "x", " ", "\u00a0", "😀", "of the"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 60))) for _ in range(600)] + ["", " "]
+    languages = (frozenset(), EN, frozenset({"value", "name", "é"}))
+    want = np.array([plain(t, languages) for t in texts])
+    for block in (1, 700, 1 << 20):
+        monkeypatch.setattr(text_stats, "BLOCK_CHARS", block)
+        got = batch_statistics(texts, CommonWords(languages))
+        assert not {f: texts[int(np.argmax(np.abs(got[:, k] - want[:, k])))] for k, f in enumerate(FEATURES) if not np.allclose(got[:, k], want[:, k])}
 
 
 def corpus():
