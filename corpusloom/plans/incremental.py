@@ -52,13 +52,13 @@ def p5_node_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p1_found, p1_claimed_deliveries, p5_found, p5_node_counts)}
 
 #: The text of a stored record with any wrapping JSON strings opened.
-_OPENED = """
+OPENED = """
     WITH RECURSIVE o AS (
         SELECT id, TRY_CAST(raw_json AS JSON) AS j, 0 AS n FROM pages
         UNION ALL SELECT id, TRY_CAST(json_extract_string(j, '$') AS JSON), n + 1 FROM o WHERE json_type(j) = 'VARCHAR'),"""
 
 _NODES = (
-    _OPENED
+    OPENED
     + """
         root AS (SELECT id, j FROM o WHERE json_type(j) = 'OBJECT'),
         node AS (

@@ -9,6 +9,7 @@ from corpusloom.config import PipelineConfig
 from corpusloom.functions import documents as D
 from corpusloom.functions import errors, html, text, urls, vectors
 from corpusloom.operators import chunking, crawl_state, render, retrieval, stats
+from corpusloom.plans import render_sql
 from corpusloom.plans.pipeline import Pipeline, change_digest, process_fetched, requests_for
 from corpusloom.session import materialize, scratch_path
 from corpusloom.sources.providers import HashingEmbedder, TableFetcher, embed
@@ -49,10 +50,11 @@ def chunks(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- chunks
 
-_CUTS = f"""
-    WITH RECURSIVE src AS (
+def _cuts_sql(table: str) -> str:
+    """Common table expressions, ``chunked`` last, of the chunks of ``content`` in a table."""
+    return f"""src AS (
         SELECT id, content, length(content) AS l, greatest(1, (2 * length(content) + 2500) // 5000) AS n
-        FROM pages WHERE content IS NOT NULL AND trim(content, '{_WS}') <> ''),
+        FROM {table} WHERE content IS NOT NULL AND trim(content, '{_WS}') <> ''),
     cuts AS (
         SELECT id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS a FROM src
         UNION ALL
@@ -74,6 +76,9 @@ _CUTS = f"""
     chunked AS (SELECT * FROM pieces WHERE chunk_index < total_chunks - 1 OR content <> '')"""
 
 
+_CUTS = "WITH RECURSIVE " + _cuts_sql("pages")
+
+
 def _chunked(spark: SparkSession, d: str) -> DataFrame:
     return chunking.chunk_rows(pages(spark, d), ["id"], "content")
 
@@ -135,8 +140,8 @@ def url_malformed(spark: SparkSession, d: str) -> DataFrame:
     return spread.select("id", (F.col("variant") + 1).alias("variant"), urls.malformed_reason(F.col("form"), CONFIG).alias("reason"))
 
 
-_LINKS = f"""
-    WITH raw AS (SELECT p.id, json_extract_string(e.value, '$.url') AS u
+_LINK_TABLES = f"""
+    raw AS (SELECT p.id, json_extract_string(e.value, '$.url') AS u
         FROM (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages) p, json_each(p.j, '$.references') e
         WHERE json_type(p.j, '$.references') = 'OBJECT' AND json_type(e.value, '$.url') = 'VARCHAR'),
     absolute AS (SELECT id, CASE WHEN starts_with(u, 'http') THEN u ELSE '{_ORIGIN}' || u END AS u FROM raw WHERE u <> ''),
@@ -144,6 +149,9 @@ _LINKS = f"""
         WHERE (starts_with(u, '{_ORIGIN}/documentation') OR starts_with(u, '{_ORIGIN}/design')) AND ({_malformed_sql('u')}) IS NULL)"""
 
 
+_LINKS = "WITH " + _LINK_TABLES
+
+
 def _links(spark: SparkSession, d: str) -> DataFrame:
     return pages(spark, d).select("id", F.explode(urls.document_urls(urls.reference_urls(F.col("raw_json")), CONFIG)).alias("url"))
 
@@ -217,8 +225,7 @@ def _falsy_sql(path: str) -> str:
     return f"(json_type(j, '{path}') IS NULL OR json_type(j, '{path}') = 'NULL' OR (json_type(j, '{path}') NOT IN ('OBJECT', 'ARRAY') AND json_extract_string(j, '{path}') IN ('', '0', 'false')))"
 
 
-@query(f"""WITH d AS (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages)
-    SELECT id, CASE WHEN j IS NULL OR json_type(j) <> 'OBJECT' THEN 'Invalid response: not an object'
+_INVALID = f"""CASE WHEN j IS NULL OR json_type(j) <> 'OBJECT' THEN 'Invalid response: not an object'
         WHEN {_falsy_sql('$.primaryContentSections')} THEN 'PERMANENT_ERROR:NO_PRIMARY_CONTENT:Missing primaryContentSections field'
         WHEN {_falsy_sql('$.metadata')} THEN 'Invalid response: missing metadata field'
         WHEN json_type(j, '$.primaryContentSections') <> 'ARRAY' OR json_array_length(j, '$.primaryContentSections') = 0 THEN 'PERMANENT_ERROR:NO_SUBSTANTIAL_CONTENT:Empty sections'
@@ -227,7 +234,10 @@ def _falsy_sql(path: str) -> str:
             AND (coalesce(nullif(json_extract_string(s, '$.kind'), ''), nullif(json_extract_string(s, '$.type'), ''), '') <> 'content'
                  OR coalesce(json_type(s, '$.content'), '') <> 'ARRAY'
                  OR len(list_filter(json_extract(s, '$.content[*]'), lambda t: coalesce(json_extract_string(t, '$.type'), '') <> 'links')) > 0))) = 0
-            THEN 'PERMANENT_ERROR:NO_SUBSTANTIAL_CONTENT:Only contains mentions or link lists' END AS error FROM d""")
+            THEN 'PERMANENT_ERROR:NO_SUBSTANTIAL_CONTENT:Only contains mentions or link lists' END"""
+
+
+@query(f"WITH d AS (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages) SELECT id, {_INVALID} AS error FROM d")
 def document_validate(spark: SparkSession, d: str) -> DataFrame:
     return pages(spark, d).select("id", D.validate_document(D.parse(F.col("raw_json"))).alias("error"))
 
@@ -242,14 +252,20 @@ _PLATFORM = """CASE WHEN coalesce(json_extract_string(p, '$.name'), '') <> '' TH
     WHEN coalesce(json_extract_string(p, '$.deprecated'), '') = 'true' THEN 'Deprecated' || CASE WHEN coalesce(json_extract_string(p, '$.message'), '') <> '' THEN ' (' || json_extract_string(p, '$.message') || ')' ELSE '' END
     ELSE '' END"""
 
-_TITLES = f"""
-    WITH d AS (SELECT id, j, json_extract(j, '$.metadata.platforms[*]') AS ps FROM (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages)),
+_COMPOSED = f"""
     m AS (SELECT id, j, list_filter(list_transform(ps, lambda p: {_PLATFORM}), lambda x: trim(x, '{_WS}') <> '') AS texts,
         list_transform(list_filter(ps, lambda p: (coalesce(json_extract_string(p, '$.deprecated'), '') = 'true' OR coalesce(json_extract_string(p, '$.deprecatedAt'), '') <> '') AND coalesce(json_extract_string(p, '$.message'), '') <> ''), lambda p: json_extract_string(p, '$.message')) AS notes FROM d),
     t AS (SELECT id, j, coalesce(array_to_string(texts, ', '), '') AS platforms, coalesce(array_to_string(list_filter(notes, lambda x, i: list_position(notes, x) = i), '; '), '') AS note,
         nullif(json_extract_string(j, '$.metadata.roleHeading'), '') AS role, nullif(json_extract_string(j, '$.metadata.title'), '') AS title,
         coalesce(array_to_string(list_transform(json_extract(j, '$.abstract[*]'), lambda a: json_extract_string(a, '$.text')), ''), '') AS abstract FROM m)"""
 
+_TITLES = """WITH d AS (SELECT id, j, json_extract(j, '$.metadata.platforms[*]') AS ps FROM (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages)),""" + _COMPOSED
+
+_TITLE = f"""nullif(trim(CASE WHEN role IS NOT NULL AND title IS NOT NULL THEN role || ': ' || title ELSE coalesce(title, role, '') END
+        || CASE WHEN trim(abstract, '{_WS}') <> '' THEN chr(10) || abstract ELSE '' END
+        || CASE WHEN platforms <> '' THEN chr(10) || 'Platforms: ' || platforms ELSE '' END
+        || CASE WHEN note <> '' THEN chr(10) || 'Deprecation Note: ' || note ELSE '' END, '{_WS}'), '')"""
+
 
 @query(_TITLES + " SELECT id, platforms, note FROM t")
 def platform_format(spark: SparkSession, d: str) -> DataFrame:
@@ -257,20 +273,23 @@ def platform_format(spark: SparkSession, d: str) -> DataFrame:
     return pages(spark, d).select("id", D.platform_line(known).alias("platforms"), D.deprecation_note(known).alias("note"))
 
 
-@query(_TITLES + f""" SELECT id, nullif(trim(CASE WHEN role IS NOT NULL AND title IS NOT NULL THEN role || ': ' || title ELSE coalesce(title, role, '') END
-        || CASE WHEN trim(abstract, '{_WS}') <> '' THEN chr(10) || abstract ELSE '' END
-        || CASE WHEN platforms <> '' THEN chr(10) || 'Platforms: ' || platforms ELSE '' END
-        || CASE WHEN note <> '' THEN chr(10) || 'Deprecation Note: ' || note ELSE '' END, '{_WS}'), '') AS title FROM t""")
+@query(_TITLES + f" SELECT id, {_TITLE} AS title FROM t")
 def title_compose(spark: SparkSession, d: str) -> DataFrame:
     return pages(spark, d).select("id", D.document_title(D.parse(F.col("raw_json"))).alias("title"))
 
 
-@query()
+_RENDERED = f""",
+    d AS (SELECT id, j, json_extract(j, '$.metadata.platforms[*]') AS ps FROM doc WHERE coalesce(json_type(j, '$.metadata'), 'NULL') <> 'NULL'),{_COMPOSED},
+    rendered AS (SELECT t.id, {_TITLE} AS new_title, coalesce(b.content, '') AS new_content FROM t LEFT JOIN body b ON b.id = t.id)"""
+
+
+@query(render_sql.MARKDOWN + _RENDERED + " SELECT p.id, r.new_title, r.new_content, r.id IS NULL AS failed FROM pages p LEFT JOIN rendered r ON r.id = p.id")
 def render_markdown(spark: SparkSession, d: str) -> DataFrame:
-    return render.render_documents(pages(spark, d).select("id", "raw_json")).select("id", "new_title", "new_content", "render_error")
+    """Title and Markdown of every document; ``failed`` where there is none to render."""
+    return render.render_documents(pages(spark, d).select("id", "raw_json")).select("id", "new_title", "new_content", F.col("render_error").isNotNull().alias("failed"))
 
 
-@query()
+@query(render_sql.SWIFT)
 def swift_format(spark: SparkSession, d: str) -> DataFrame:
     """Every declaration of the documents, one parameter a line."""
     sections = F.try_variant_get(F.try_parse_json("raw_json"), "$.primaryContentSections", "array<variant>")
@@ -468,21 +487,54 @@ def _answers(spark: SparkSession, d: str) -> DataFrame:
     return pages(spark, d).select("url", F.lit(200).alias("status"), F.lit("OK").alias("reason"), F.col("raw_json").alias("body"))
 
 
-@query()
+# videos hold no page that was scraped, hence no transcript
+_PLAN = (
+    render_sql.MARKDOWN
+    + _RENDERED
+    + f""",{_LINK_TABLES},
+    checked AS (SELECT p.id, p.url, p.title, p.content, p.raw_json, p.collect_count, CASE WHEN p.url LIKE '{_VIDEO}%' THEN 'PERMANENT_ERROR:NO_TRANSCRIPT:' || p.url ELSE v.error END AS error
+        FROM pages p JOIN (SELECT id, {_INVALID} AS error FROM (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages)) v ON v.id = p.id),
+    plan AS (SELECT c.*, CASE WHEN c.error IS NULL THEN r.new_title END AS new_title, CASE WHEN c.error IS NULL THEN r.new_content END AS new_content,
+            CASE WHEN contains(c.error, 'PERMANENT_ERROR:') THEN 'permanent_error' WHEN c.error IS NOT NULL THEN 'temporary_error'
+            WHEN c.title IS DISTINCT FROM r.new_title OR c.content IS DISTINCT FROM r.new_content THEN 'changed' ELSE 'unchanged' END AS status
+        FROM checked c LEFT JOIN rendered r ON r.id = c.id)"""
+)
+
+
+@query(_PLAN + """, joined AS (SELECT id, string_agg(url, ' ' ORDER BY url) AS links FROM links GROUP BY id)
+    SELECT p.id, status, error, new_title, new_content, CASE WHEN status = 'changed' THEN coalesce(j.links, '') ELSE '' END AS links FROM plan p LEFT JOIN joined j ON j.id = p.id""")
 def processing_plan(spark: SparkSession, d: str) -> DataFrame:
     """What a batch over the whole table would do, were its stored responses fetched again."""
     rows = pages(spark, d)
     answers = TableFetcher(_answers(spark, d)).fetch(requests_for(rows, CONFIG))
-    return process_fetched(rows, answers, CONFIG).select("id", "status", "error", "new_title", F.size("new_urls").alias("links"))
-
-
-@query()
+    return process_fetched(rows, answers, CONFIG).select("id", "status", "error", "new_title", "new_content", F.array_join(F.sort_array("new_urls"), " ").alias("links"))
+
+
+_ID = "concat_ws('-', substring(h, 1, 8), substring(h, 9, 4), substring(h, 13, 4), substring(h, 17, 4), substring(h, 21, 12))"
+
+
+@query(_PLAN + f""",
+    done AS (SELECT * FROM plan WHERE url LIKE '{_SCOPE}%'),
+    kept AS (SELECT p.id, p.url, CAST(p.collect_count + CASE WHEN d.id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS collect_count,
+            CASE WHEN d.status = 'changed' THEN nullif(d.new_title, '') ELSE p.title END AS title, CASE WHEN d.status = 'changed' THEN d.new_content ELSE p.content END AS content
+        FROM pages p LEFT JOIN done d ON d.id = p.id WHERE d.status IS NULL OR d.status <> 'permanent_error'),
+    fresh AS (SELECT DISTINCT l.url, sha256(l.url) AS h FROM links l JOIN done d ON d.id = l.id AND d.status = 'changed' WHERE l.url NOT IN (SELECT url FROM kept)),
+    low AS (SELECT coalesce(min(collect_count), 0) AS c FROM kept WHERE url LIKE '{_SCOPE}%' AND collect_count > 0),
+    after AS (SELECT * FROM kept UNION ALL SELECT {_ID}, url, CAST(low.c AS INTEGER), NULL, '' FROM fresh, low),
+    rewritten AS (SELECT url AS id, new_content AS content FROM done WHERE status = 'changed'),
+    {_cuts_sql('rewritten')},
+    new_chunks AS (SELECT id AS url, count(*) AS n FROM chunked GROUP BY id),
+    old_chunks AS (SELECT url, count(*) AS n FROM chunks WHERE url NOT IN (SELECT url FROM new_chunks) AND url NOT IN (SELECT url FROM done WHERE status = 'permanent_error') GROUP BY url),
+    counted AS (SELECT * FROM new_chunks UNION ALL SELECT * FROM old_chunks)
+    SELECT coalesce(a.id, '') AS id, coalesce(a.url, c.url) AS url, a.collect_count, a.title, a.content, CAST(coalesce(c.n, 0) AS BIGINT) AS chunks FROM after a FULL JOIN counted c ON c.url = a.url""")
 def pipeline_batches(spark: SparkSession, d: str) -> DataFrame:
-    """The table after one batch of all pages in scope against stored responses."""
+    """Pages and numbers of chunks after one batch of all pages in scope against stored responses."""
     store = crawl_state.SnapshotStore(spark, scratch_path(spark, "pipeline"))
     store.write(pages=pages(spark, d), chunks=chunks(spark, d))
     Pipeline(spark, store, TableFetcher(_answers(spark, d)), PipelineConfig(batch_size=None)).run_batch()  # unlike run, it raises if the batch fails
-    return store.read("pages").select("id", "url", "collect_count", F.length("content").alias("length"))
+    counted = store.read("chunks").groupBy("url").agg(F.count(F.lit(1)).alias("chunks"))
+    both = store.read("pages").join(counted, "url", "full")
+    return both.select(F.coalesce("id", F.lit("")).alias("id"), "url", "collect_count", "title", "content", F.coalesce("chunks", F.lit(0)).cast("bigint").alias("chunks"))
 
 
 @query("""SELECT CAST(epoch_us(date_trunc('hour', loaded_at)) AS BIGINT) AS hour_us, CAST(count(*) AS BIGINT) AS deliveries FROM page_feed GROUP BY 1""")
