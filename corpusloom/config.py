@@ -22,6 +22,8 @@ class PipelineConfig:
     alternate_page_to: str = "/docc"
     batch_size: int | None = 30  # None: a batch takes every page in scope
     batch_count: int = 30
+    worker: int = 0  # which of the workers that claim at once this one is
+    workers: int = 1
     force_update_all: bool = False
     permanent_statuses: tuple[int, ...] = (403, 404, 410)
     chunk_target: int = 2500
@@ -31,10 +33,12 @@ class PipelineConfig:
 
     @staticmethod
     def from_env(env: dict[str, str]) -> PipelineConfig:
-        """Read ``BATCH_SIZE``, ``BATCH_COUNT`` and ``FORCE_UPDATE_ALL``; blank values mean the default."""
+        """Read ``BATCH_SIZE``, ``BATCH_COUNT``, ``WORKER``, ``WORKERS`` and ``FORCE_UPDATE_ALL``; blank values mean the default."""
         base = PipelineConfig()
         return PipelineConfig(
             batch_size=int(env.get("BATCH_SIZE") or base.batch_size),
             batch_count=int(env.get("BATCH_COUNT") or base.batch_count),
+            worker=int(env.get("WORKER") or base.worker),
+            workers=int(env.get("WORKERS") or base.workers),
             force_update_all=(env.get("FORCE_UPDATE_ALL") or "").lower() == "true",
         )

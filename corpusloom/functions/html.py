@@ -29,7 +29,7 @@ def page_title(html: Column, pattern: str = TITLE) -> Column:
 
 
 def has_section(html: Column, pattern: str = TRANSCRIPT) -> Column:
-    return html.rlike(pattern)
+    return F.coalesce(html.rlike(pattern), F.lit(False))
 
 
 def transcript(html: Column, section: str = TRANSCRIPT, segment: str = SEGMENT) -> Column:

@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.manifests import ManifestFolder
 from corpusloom.session import materialize, release
 
 BLOCK = 1 << 16
@@ -322,45 +323,12 @@ class ChangeFeedStore:
         if self.count_bodies:
             self.bodies = self.spark.sparkContext.accumulator(0)
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return jvm, p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        _, p, fs = self._fs(f"{self.path}/{folder}")
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-    def manifests(self, since: int) -> list[dict]:
-        """All manifests after version ``since``, in order."""
-        return [self._load(n) for n in self._committed() if int(n[:-5]) > since]
+    @property
+    def log(self) -> ManifestFolder:
+        return ManifestFolder(self.spark, f"{self.path}/commits")
 
     def manifest(self) -> dict:
-        names = self._committed()
-        return self._load(names[-1]) if names else {"version": 0, "base": None, "deltas": [], "intervals": None, "withdraws": False}
-
-    def _committed(self) -> list[str]:
-        return [n for n in self._names("commits") if n.endswith(".json") and not n.startswith(("_", "."))]
-
-    def _load(self, name: str) -> dict:
-        jvm, p, fs = self._fs(f"{self.path}/commits/{name}")
-        stream = fs.open(p)
-        try:
-            return json.loads(bytes(stream.readAllBytes()))
-        finally:
-            stream.close()
-
-    def _commit(self, manifest: dict) -> None:
-        name = f"{manifest['version']:012d}.json"
-        jvm, tmp, fs = self._fs(f"{self.path}/commits/_{uuid.uuid4().hex}")
-        out = fs.create(tmp, True)
-        try:
-            out.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            out.close()
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/{name}")
-        if fs.exists(target) or not fs.rename(tmp, target):
-            raise RuntimeError(f"version {manifest['version']} was committed by another writer")
+        return self.log.last() or {"version": 0, "base": None, "deltas": [], "intervals": None, "withdraws": False}
 
     def _read(self, schema: str, names: list[str]) -> DataFrame:
         if not names:
@@ -468,7 +436,7 @@ class ChangeFeedStore:
             after |= {"base": self._compact(after, number), "deltas": []}
         if self.fail_before_commit:
             raise FailedBeforeCommit
-        self._commit(after)
+        self.log.commit(after)
         self._clean({m["base"], after["base"]})
 
     def _compact(self, m: dict, number: int) -> str:
@@ -482,10 +450,9 @@ class ChangeFeedStore:
         return name
 
     def _clean(self, named: set[str | None]) -> None:
-        for base in self._names("bases"):
+        for base in self.log.names(f"{self.path}/bases"):
             if f"bases/{base}" not in named:
-                _, p, fs = self._fs(f"{self.path}/bases/{base}")
-                fs.delete(p, True)
+                self.log.delete(f"{self.path}/bases/{base}")
 
     def changes(self) -> DataFrame:
         """(run_id, id) of every change that stands."""
@@ -493,7 +460,7 @@ class ChangeFeedStore:
 
     def read(self, since: int = 0) -> Pass:
         """What the passes after version ``since`` gave out, net of what later ones of them withdrew."""
-        passes = self.manifests(since)
+        passes = self.log.since(since)
         folders = [f"{self.path}/{m['pass']}" for m in passes]
         tables = [self.spark.read.schema(_VERSIONS).parquet(f"{f}/versions") for f in folders]
         rows = self.spark.createDataFrame([], _VERSIONS) if not tables else tables[0]

@@ -1,6 +1,6 @@
 """Adaptive chunks: a text is cut into about equal parts, each cut moved to a boundary near its target.
 
-One narrow Arrow stage from texts to chunk rows, without a shuffle. A text that cannot be chunked gives an error row instead of failing its task.
+One narrow Arrow stage from texts to chunk rows, without a shuffle. A text that cannot be chunked gives one row with ``error`` and no chunk instead of failing its task.
 """
 
 from __future__ import annotations
@@ -48,22 +48,27 @@ def chunk_text(text: str | None, rule: ChunkRule = ChunkRule()) -> list[tuple[in
 
 
 def chunk_rows(df: DataFrame, keys: list[str], text: str, rule: ChunkRule = ChunkRule()) -> DataFrame:
-    """One row a chunk: the key columns, ``chunk_index``, ``total_chunks``, ``content``."""
+    """One row a chunk: the key columns, ``chunk_index``, ``total_chunks``, ``content`` and ``error``, which is NULL but in the row of a text that failed."""
     source = df.select(*keys, df[text].alias("_text"))
     width = len(keys)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:width]), "chunk_index int", "total_chunks int", "content string"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:width]), "chunk_index int", "total_chunks int", "content string", "error string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, index, total, content = [], [], [], []
+            owner, index, total, content, error = [], [], [], [], []
             for row, value in enumerate(batch.column(width).to_pylist()):
-                for i, n, c in chunk_text(value, rule):
+                try:
+                    found = [(*piece, None) for piece in chunk_text(value, rule)]
+                except Exception as e:  # noqa: BLE001
+                    found = [(None, None, None, f"{type(e).__name__}: {e}")]
+                for i, n, c, problem in found:
                     owner.append(row)
                     index.append(i)
                     total.append(n)
                     content.append(c)
+                    error.append(problem)
             taken = pa.array(owner, pa.int64())
             columns = [batch.column(k).take(taken) for k in range(width)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(index, pa.int32()), pa.array(total, pa.int32()), pa.array(content, pa.string())], names=[*keys, "chunk_index", "total_chunks", "content"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(index, pa.int32()), pa.array(total, pa.int32()), pa.array(content, pa.string()), pa.array(error, pa.string())], names=[*keys, "chunk_index", "total_chunks", "content", "error"])
 
     return source.mapInArrow(run, schema)

@@ -1,29 +1,45 @@
 """The crawl-state table: claiming, inserting, updating, replacing and deleting as pure transformations.
 
-Plain Parquet has no MERGE, so every transition maps the old table to the new one by joins; ``SnapshotStore`` writes the result as a new version. One
-writer at a time: there is no counterpart of locks that other workers skip.
+Plain Parquet has no MERGE, so a transition maps an old table, or its changed rows, to the new ones by joins; ``SnapshotStore`` keeps versions as deltas.
+Several workers claim shares of the addresses that do not overlap; a store is published by one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.config import PipelineConfig
 from corpusloom.functions.urls import in_scope
+from corpusloom.operators.manifests import ManifestFolder
+
+KEYS = {"pages": "id", "chunks": "url"}  # by which rows are replaced
+COMPACT_AFTER = 8
 
 
 def _empty_first(name: str) -> Column:
     return F.when(F.col(name).isNull() | (F.col(name) == ""), 0).otherwise(1)
 
 
+def share_of(url: Column, workers: int) -> Column:
+    """The worker whose share an address belongs to, by a hash."""
+    return F.conv(F.substring(F.md5(url), 1, 8), 16, 10).cast("long") % workers
+
+
 def claim_batch(pages: DataFrame, config: PipelineConfig) -> DataFrame:
     """The next batch: rows in scope at the lowest count, empty content first, then empty title, then by address, with their counts raised.
 
     The lowest count is a scalar subquery on one column; the order is a bounded top-k in every task, never a full sort. Without a batch size
-    every row in scope is taken, whatever its count, and nothing is sorted.
+    every row in scope is taken, whatever its count, and nothing is sorted. Of several ``workers`` each one claims of its own share of the addresses, so that no two
+    claim the same row and none waits for another.
     """
     scoped = pages.where(in_scope(F.col("url"), config))
+    if config.workers > 1:
+        scoped = scoped.where(share_of(F.col("url"), config.workers) == config.worker)
     if config.batch_size is None:
         return scoped.withColumn("collect_count", (F.col("collect_count") + 1).cast("int"))
     lowest = scoped.agg(F.min("collect_count").alias("lowest"))
@@ -53,13 +69,17 @@ def new_urls(pages: DataFrame, urls: DataFrame, config: PipelineConfig) -> DataF
 
 
 def insert_urls(pages: DataFrame, urls: DataFrame, config: PipelineConfig, now: Column) -> DataFrame:
-    """The table with new addresses; known ones are ignored. Ids follow from the address, so a repeated run makes the same rows."""
+    """The table with new addresses; known ones are ignored."""
+    return pages.unionByName(new_rows(pages, urls, config, now))
+
+
+def new_rows(pages: DataFrame, urls: DataFrame, config: PipelineConfig, now: Column) -> DataFrame:
+    """The rows of addresses not yet in the table. Ids follow from the address, so a repeated run makes the same rows."""
     fresh = new_urls(pages, urls, config)
     digest = F.sha2("url", 256)
     uuid = F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     values = {"id": uuid, "url": F.col("url"), "content": F.lit(""), "created_at": now, "collect_count": F.col("collect_count")}
-    rows = fresh.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in pages.schema.fields])
-    return pages.unionByName(rows)
+    return fresh.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in pages.schema.fields])
 
 
 def update_full(pages: DataFrame, changed: DataFrame) -> DataFrame:
@@ -82,36 +102,89 @@ def delete_cascade(pages: DataFrame, chunks: DataFrame, ids: DataFrame) -> tuple
     return pages.join(ids.select("id").distinct(), "id", "left_anti").select(*pages.columns), chunks.join(gone, "url", "left_anti").select(*chunks.columns)
 
 
+@dataclass(frozen=True)
+class Delta:
+    """What changes in a table: every older row whose key is in ``gone`` (a table of the key column) goes, then ``rows`` come in.
+
+    Without ``gone`` the keys of ``rows`` are replaced; ``gone`` of None and ``added`` true adds rows only.
+    """
+
+    rows: DataFrame
+    gone: DataFrame | None = None
+    added: bool = False
+
+
 class SnapshotStore:
-    """Versioned tables in a shared folder; a version is current once its marker exists."""
+    """Versioned tables in a shared folder, each a base and the deltas since.
+
+    A version writes its delta to a folder of its own, then becomes current by its manifest: readers see all of it or nothing, and of two
+    writers the second one fails without harm to the files of the first. What a version writes depends on its changes, not on the table. After ``COMPACT_AFTER``
+    deltas a table is merged into a new base; folders that the last two manifests do not name are deleted.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.log = ManifestFolder(spark, f"{path}/_versions")
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _manifest(self) -> dict:
+        return self.log.last() or {"version": 0, "tables": {}}
 
     def version(self) -> int:
-        p, fs = self._fs(f"{self.path}/_versions")
-        if not fs.exists(p):
-            return 0
-        return max((int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()), default=0)
+        return self._manifest()["version"]
+
+    def _rows(self, segments: list[dict], key: str | None) -> DataFrame:
+        tables = [self.spark.read.parquet(f"{self.path}/{s['rows']}").withColumn("_version", F.lit(s["version"])) for s in segments]
+        rows = reduce(DataFrame.unionByName, tables)
+        gone = [self.spark.read.parquet(f"{self.path}/{s['gone']}").select(key, F.lit(s["version"]).alias("_gone")) for s in segments if s["gone"]]
+        if gone:
+            last = reduce(DataFrame.unionByName, gone).groupBy(key).agg(F.max("_gone").alias("_gone"))
+            columns = rows.columns
+            rows = rows.join(last, key, "left").where(F.col("_gone").isNull() | (F.col("_gone") <= F.col("_version"))).select(*columns)
+        return rows.drop("_version")
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{self.version():09d}/{table}")
+        return self._rows(self._manifest()["tables"][table], KEYS.get(table))
 
     def write(self, **tables: DataFrame) -> int:
-        """Write all tables as the next version, then publish it in one step."""
-        version = self.version() + 1
-        target = f"{self.path}/{version:09d}"
-        old, fs = self._fs(target)
-        fs.delete(old, True)  # what a failed writer left
-        for name, df in tables.items():
-            df.write.parquet(f"{target}/{name}")
-        marker, fs = self._fs(f"{self.path}/_versions/{version:09d}")
-        fs.mkdirs(marker.getParent())
-        if not fs.createNewFile(marker):
-            raise RuntimeError(f"version {version} was published by another writer")
-        return version
+        """Publish whole tables as the next version."""
+        before = self._manifest()
+        number = before["version"] + 1
+        return self._publish(before, {**before["tables"], **{name: [self._base(name, df, number)] for name, df in tables.items()}})
+
+    def change(self, **deltas: Delta) -> int:
+        """Publish changes as the next version."""
+        before = self._manifest()
+        number, tables, merged = before["version"] + 1, dict(before["tables"]), []
+        for name, d in deltas.items():
+            rows, gone = self._folder(name), None
+            d.rows.write.parquet(f"{self.path}/{rows}")
+            if d.gone is not None or not d.added:
+                gone = self._folder(name)
+                keys = d.gone if d.gone is not None else self.spark.read.parquet(f"{self.path}/{rows}")
+                keys.select(KEYS[name]).distinct().write.parquet(f"{self.path}/{gone}")
+            tables[name] = [*tables[name], {"version": number, "rows": rows, "gone": gone}]
+            if len(tables[name]) > COMPACT_AFTER + 1:
+                tables[name] = [self._base(name, self._rows(tables[name], KEYS[name]), number)]
+                merged += [f for f in (rows, gone) if f]  # which no manifest names
+        self._publish(before, tables)
+        for folder in merged:
+            self.log.delete(f"{self.path}/{folder}")
+        return number
+
+    def _folder(self, name: str) -> str:
+        return f"{name}/{uuid.uuid4().hex}"
+
+    def _base(self, name: str, df: DataFrame, number: int) -> dict:
+        rows = self._folder(name)
+        df.write.parquet(f"{self.path}/{rows}")
+        return {"version": number, "rows": rows, "gone": None}
+
+    def _publish(self, before: dict, tables: dict) -> int:
+        after = {"version": before["version"] + 1, "tables": tables}
+        self.log.commit(after)
+        folders = lambda m: {s[k] for x in m["tables"].values() for s in x for k in ("rows", "gone") if s[k]}
+        older = self.log.since(before["version"] - 2)[0] if before["version"] > 1 else None
+        if older:  # the version before the last one
+            for folder in folders(older) - folders(before) - folders(after):
+                self.log.delete(f"{self.path}/{folder}")
+        return after["version"]

@@ -13,10 +13,10 @@ from corpusloom.config import PipelineConfig
 from corpusloom.functions.documents import parse, validate_document
 from corpusloom.functions.errors import row_status, status_error
 from corpusloom.functions.html import discover_links, page_title, transcript, transcript_error
-from corpusloom.functions.text import embedding_text, truncate_message
+from corpusloom.functions.text import embedding_text
 from corpusloom.functions.urls import api_url, document_urls, is_video, reference_urls
 from corpusloom.operators.chunking import ChunkRule, chunk_rows
-from corpusloom.operators.crawl_state import SnapshotStore, claim_batch, delete_cascade, insert_urls, mark_claimed, replace_chunks, update_full
+from corpusloom.operators.crawl_state import Delta, SnapshotStore, claim_batch, new_rows, update_full
 from corpusloom.operators.render import render_documents
 from corpusloom.operators.stats import crawl_stats, report_text
 from corpusloom.session import materialize
@@ -108,10 +108,8 @@ class Pipeline:
     def run_batch(self) -> BatchResult:
         config = self.config
         now = F.lit(dt.datetime.now(dt.UTC)).cast("timestamp")  # one time for the whole batch
-        pages, chunks = self.store.read("pages"), self.store.read("chunks")
-        claimed = materialize(claim_batch(pages, config), "claimed")
-        self.store.write(pages=mark_claimed(pages, claimed), chunks=chunks)  # counts rise even if what follows fails
-        pages, chunks = self.store.read("pages"), self.store.read("chunks")
+        claimed = materialize(claim_batch(self.store.read("pages"), config), "claimed")
+        self.store.change(pages=Delta(claimed))  # counts rise even if what follows fails
 
         answers = materialize(self.fetcher.fetch(requests_for(claimed, config)), "answers")
         plan = materialize(process_fetched(claimed, answers, config), "plan")
@@ -119,32 +117,40 @@ class Pipeline:
 
         changed = plan.where("status = 'changed'")
         pieces = chunk_rows(changed.select("url", F.nullif("new_title", F.lit("")).alias("title"), "new_content"), ["url", "title"], "new_content", ChunkRule(config.chunk_target, config.chunk_range))
+        pieces = materialize(pieces, "pieces")
+        failed = pieces.where(F.col("error").isNotNull()).count()
+        pieces = pieces.where(F.col("error").isNull()).drop("error")
         with_text = embed(pieces.withColumn("_text", embedding_text(F.col("title"), F.col("content"))), "_text", self.embedder).drop("_text")
         key = F.sha2(F.concat_ws("\n", "url", F.col("chunk_index").cast("string"), F.lit(str(self.store.version()))), 256)
         new_chunks = materialize(with_text.select(key.alias("id"), "url", "title", "content", now.alias("created_at"), "embedding", "chunk_index", "total_chunks"), "new-chunks")
 
+        updates = changed.select("id", F.col("new_raw_json").alias("raw_json"), F.nullif("new_title", F.lit("")).alias("title"), F.coalesce("new_content", F.lit("")).alias("content"), now.alias("updated_at"))
+        gone = plan.where("status = 'permanent_error'").select("id", "url")
+        changed_rows = update_full(claimed.join(changed.select("id"), "id", "left_semi"), updates)
+        kept = self.store.read("pages").join(gone.select("id"), "id", "left_anti")
+        urls = plan.select(F.explode("new_urls").alias("url")).distinct()
+        fresh = materialize(new_rows(kept, urls, config, now), "frontier")
+        self.store.change(
+            pages=Delta(changed_rows.select(*fresh.columns).unionByName(fresh), gone=changed.select("id").unionByName(gone.select("id"))),
+            chunks=Delta(new_chunks, gone=new_chunks.select("url").unionByName(gone.select("url"))),
+        )
         if not config.force_update_all:
-            for row in change_digest(plan).collect():  # one row at most
+            for row in change_digest(plan).collect():  # one row at most; told once it is true
                 self.notifier.stats(row.message)
-        updates = changed.select("id", F.col("new_raw_json").alias("raw_json"), F.nullif("new_title", F.lit("")).alias("title"), F.coalesce("new_content", F.lit("")).alias("content"), now.alias("updated_at"))
-        gone = plan.where("status = 'permanent_error'").select("id")
-        kept, pieces_kept = delete_cascade(update_full(pages, updates), replace_chunks(chunks, new_chunks), gone)
-        urls = materialize(plan.select(F.explode("new_urls").alias("url")).distinct(), "frontier")
-        known = kept.select("url")
-        fresh = urls.join(known, "url", "left_anti").count()
-        self.store.write(pages=insert_urls(kept, urls, config, now), chunks=pieces_kept)
+        if failed:
+            self.notifier.alert(f"Texts that could not be cut: {failed}")
         if counts.get("temporary_error"):
             self.notifier.alert(f"Temporary errors: {counts['temporary_error']} URLs")
-        return BatchResult(sum(counts.values()), counts.get("changed", 0), counts.get("unchanged", 0), counts.get("permanent_error", 0), counts.get("temporary_error", 0), new_chunks.count(), fresh)
+        return BatchResult(sum(counts.values()), counts.get("changed", 0), counts.get("unchanged", 0), counts.get("permanent_error", 0), counts.get("temporary_error", 0), new_chunks.count(), fresh.count())
 
     def discover(self, index: DataFrame) -> int:
         """Enqueue the links of index pages (url, html); returns how many are new."""
         urls = index.select(F.explode(discover_links(F.col("html"), self.config.video_path, self.config.origin)).alias("url")).distinct()
         pages = self.store.read("pages")
-        urls = materialize(urls.join(pages.select("url"), "url", "left_anti"), "discovered")
-        n = urls.count()
+        fresh = materialize(new_rows(pages, urls, self.config, F.current_timestamp()), "discovered")
+        n = fresh.count()
         if n:
-            self.store.write(pages=insert_urls(pages, urls, self.config, F.current_timestamp()), chunks=self.store.read("chunks"))
+            self.store.change(pages=Delta(fresh, added=True))
         return n
 
     def discover_at(self, index_url: str) -> int:
@@ -180,6 +186,3 @@ class Pipeline:
             self.notifier.stats(report_text(stats, (dt.datetime.now(dt.UTC) - started).total_seconds(), sum(r.chunks for r in results), self.config))
         return results
 
-
-def shortened(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, truncate_message(F.col(column)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.config import PipelineConfig
@@ -80,7 +80,7 @@ _CUTS = "WITH RECURSIVE " + _cuts_sql("pages")
 
 
 def _chunked(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.chunk_rows(pages(spark, d), ["id"], "content")
+    return chunking.chunk_rows(pages(spark, d), ["id"], "content").drop("error")
 
 
 @query(_CUTS + " SELECT id, chunk_index, total_chunks, content FROM chunked")
@@ -353,6 +353,16 @@ def priority_claim(spark: SparkSession, d: str) -> DataFrame:
     return crawl_state.claim_batch(pages(spark, d), CLAIM).select("id", "url", "collect_count")
 
 
+@query(f"""WITH s AS (SELECT id, url, content, title, collect_count, CAST('0x' || substring(md5(url), 1, 8) AS BIGINT) % 3 AS worker FROM pages WHERE url LIKE '{_SCOPE}%'),
+    low AS (SELECT worker, min(collect_count) AS c FROM s GROUP BY worker),
+    r AS (SELECT s.*, row_number() OVER (PARTITION BY s.worker ORDER BY {_ORDER}) AS k FROM s JOIN low ON low.worker = s.worker AND s.collect_count = low.c)
+    SELECT CAST(worker AS INTEGER) AS worker, id FROM r WHERE k <= 60""")
+def worker_claims(spark: SparkSession, d: str) -> DataFrame:
+    """The batches that three workers claim at once: none holds a row of another."""
+    claims = [crawl_state.claim_batch(pages(spark, d), PipelineConfig(batch_size=60, worker=k, workers=3)).select(F.lit(k).alias("worker"), "id") for k in range(3)]
+    return claims[0].unionByName(claims[1]).unionByName(claims[2])
+
+
 @query(_CLAIMED + " SELECT id, CAST(collect_count + CASE WHEN id IN (SELECT id FROM claimed) THEN 1 ELSE 0 END AS INTEGER) AS collect_count FROM pages")
 def claim_increment(spark: SparkSession, d: str) -> DataFrame:
     claimed = materialize(crawl_state.claim_batch(pages(spark, d), CLAIM), "claimed")
@@ -418,12 +428,18 @@ def collect_distribution(spark: SparkSession, d: str) -> DataFrame:
 _GOOD = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
 
 
+def _whole(v: Column, scale: int) -> Column:
+    """All values of a vector as whole numbers of the scale, as text."""
+    return F.array_join(F.transform(v, lambda x: F.round(x.cast("double") * scale).cast("long").cast("string")), ",")
+
+
 @query(f"""WITH g AS (SELECT id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM chunks WHERE {_GOOD})
-    SELECT id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 5) AS norm, round(v[1] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 5) AS first_value FROM g""")
+    SELECT id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 5) AS norm,
+        array_to_string(list_transform(v, lambda x: CAST(CAST(round(x / sqrt(list_sum(list_transform(v, lambda y: y * y))) * 100000) AS BIGINT) AS VARCHAR)), ',') AS unit FROM g""")
 def embedding_l2_normalize(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("embedding")
     good = chunks(spark, d).where(vectors.usable(v, 64))
-    return good.select("id", F.round(vectors.norm(v), 5).alias("norm"), F.round(F.element_at(vectors.l2_normalize(v), 1), 5).alias("first_value"))
+    return good.select("id", F.round(vectors.norm(v), 5).alias("norm"), _whole(vectors.l2_normalize(v), 100000).alias("unit"))
 
 
 @query("""WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 0)
@@ -442,14 +458,44 @@ def vector_literal(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "embeddings").select("vec_id", vectors.vector_literal(scaled).alias("literal"))
 
 
-@query("""SELECT id FROM chunks WHERE list_has_all(regexp_extract_all(lower(concat_ws(' ', title, content)), '[a-z0-9]+'), ['layer', 'reference'])""")
+_NEAREST = """
+    WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+    s AS (SELECT q.vec_id AS query, e.vec_id, list_cosine_similarity(q.v, e.v) AS similarity FROM e q, e WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(similarity, 12) DESC, vec_id) AS k FROM s)"""
+
+
+@query(_NEAREST + " SELECT query, vec_id, round(similarity, 6) AS similarity FROM r WHERE k <= 5")
+def cosine_topk_queries(spark: SparkSession, d: str) -> DataFrame:
+    """The five nearest of all vectors for every vector whose id is divisible by 20: the stated query set of a search."""
+    rows = read_table(spark, d, "embeddings")
+    found = retrieval.top_k_of_queries(rows.where("vec_id % 20 = 0"), rows, 5, 64, "vec_id")
+    return found.select("query", "vec_id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("""SELECT id FROM chunks WHERE list_has_all(regexp_extract_all(lower(concat_ws(' ', title, content)), '[\\p{L}\\p{N}_]+'), ['layer', 'reference'])""")
 def fulltext_and(spark: SparkSession, d: str) -> DataFrame:
     return chunks(spark, d).where(retrieval.matches_all("Reference layer", F.col("title"), F.col("content"))).select("id")
 
 
-@query("""SELECT id FROM (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages) WHERE json_extract_string(j, '$.metadata.roleHeading') = 'Article'""")
+@query("""SELECT id FROM chunks WHERE list_has_all(regexp_extract_all(lower(concat_ws(' ', title, content)), '[\\p{L}\\p{N}_]+'), ['処理が終わるまで'])""")
+def fulltext_words_beyond_ascii(spark: SparkSession, d: str) -> DataFrame:
+    return chunks(spark, d).where(retrieval.matches_all("処理が終わるまで", F.col("title"), F.col("content"))).select("id")
+
+
+_HOLDS = {"metadata": {"role": "symbol"}, "primaryContentSections": [{"kind": "content", "content": [{"type": "heading", "level": 2}]}]}
+
+
+@query("""WITH d AS (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages)
+    SELECT id, pattern FROM d, (SELECT unnest(['role', 'sections']) AS pattern)
+    WHERE CASE pattern WHEN 'role' THEN json_type(j, '$.metadata.roleHeading') = 'VARCHAR' AND json_extract_string(j, '$.metadata.roleHeading') = 'Article'
+        ELSE json_type(j, '$.metadata') = 'OBJECT' AND json_extract_string(j, '$.metadata.role') = 'symbol'
+        AND len(list_filter(json_extract(j, '$.primaryContentSections[*]'), lambda s: json_extract_string(s, '$.kind') = 'content'
+            AND len(list_filter(json_extract(s, '$.content[*]'), lambda b: json_extract_string(b, '$.type') = 'heading' AND json_extract_string(b, '$.level') = '2')) > 0)) > 0 END""")
 def json_containment(spark: SparkSession, d: str) -> DataFrame:
-    return pages(spark, d).where(retrieval.json_contains(F.col("raw_json"), "$.metadata.roleHeading", "Article")).select("id")
+    """Documents that hold a field's value, and those that hold objects inside arrays of objects."""
+    body = F.col("raw_json")
+    found = F.array(F.when(retrieval.json_contains(body, {"metadata": {"roleHeading": "Article"}}), "role"), F.when(retrieval.json_contains(body, _HOLDS), "sections"))
+    return pages(spark, d).select("id", F.explode(F.array_compact(found)).alias("pattern"))
 
 
 @query("""SELECT id, CASE WHEN coalesce(title, '') <> '' THEN title || chr(10) || chr(10) || content ELSE content END AS embedding_text FROM chunks""")
@@ -457,11 +503,18 @@ def embed_text(spark: SparkSession, d: str) -> DataFrame:
     return chunks(spark, d).select("id", text.embedding_text(F.col("title"), F.col("content")).alias("embedding_text"))
 
 
-@query()
+# each word adds or takes one at the place that its MD5 names
+@query(_CUTS + f""",
+    t AS (SELECT p.url, c.chunk_index, regexp_extract_all(lower(CASE WHEN coalesce(p.title, '') <> '' THEN p.title || chr(10) || chr(10) || c.content ELSE c.content END), '[\\p{{L}}\\p{{N}}_]+') AS words FROM chunked c JOIN pages p ON p.id = c.id),
+    w AS (SELECT url, chunk_index, md5(unnest(words)) AS h FROM t),
+    s AS (SELECT url, chunk_index, CAST('0x' || substring(h, 3, 6) AS BIGINT) % 64 AS place, sum(CASE WHEN substring(h, 1, 1) >= '8' THEN 1 ELSE -1 END) AS x FROM w GROUP BY ALL),
+    n AS (SELECT url, chunk_index, sqrt(sum(x * x)) AS norm, map(list(place), list(x)) AS xs FROM s GROUP BY ALL)
+    SELECT t.url, t.chunk_index, array_to_string(list_transform(range(64), lambda k: CAST(CAST(round(CASE WHEN coalesce(n.norm, 0) = 0 THEN 0 ELSE CAST(coalesce(n.xs[k], 0) / n.norm AS FLOAT)::DOUBLE * 10000 END) AS BIGINT) AS VARCHAR)), ',') AS vector
+    FROM t LEFT JOIN n ON n.url = t.url AND n.chunk_index = t.chunk_index""")
 def embed_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Chunks of all pages with vectors of the stand-in embedder."""
     pieces = chunking.chunk_rows(pages(spark, d), ["url", "title"], "content")
-    return embed(pieces.withColumn("t", text.embedding_text(F.col("title"), F.col("content"))), "t", HashingEmbedder(64)).select("url", "chunk_index", F.round(vectors.norm(F.col("embedding")), 3).alias("norm"))
+    return embed(pieces.withColumn("t", text.embedding_text(F.col("title"), F.col("content"))), "t", HashingEmbedder(64)).select("url", "chunk_index", _whole(F.col("embedding"), 10000).alias("vector"))
 
 
 _ROOM = text.MESSAGE_LIMIT - len(text.MESSAGE_SUFFIX)

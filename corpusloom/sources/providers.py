@@ -78,7 +78,7 @@ class Embedder(Protocol):
 
 @dataclass
 class HashingEmbedder:
-    """A deterministic stand-in for a model: signed counts of hashed words."""
+    """A deterministic stand-in for a model: signed counts of hashed words (the first bytes of their MD5 name the place and the sign)."""
 
     dim: int = 64
 
@@ -86,34 +86,50 @@ class HashingEmbedder:
         out = np.zeros((len(texts), self.dim))
         for row, text in enumerate(texts):
             for word in re.findall(r"\w+", text.lower()):
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
-                out[row, h % self.dim] += 1 if h >> 63 else -1
+                h = hashlib.md5(word.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+                out[row, int.from_bytes(h[1:4], "big") % self.dim] += 1 if h[0] & 128 else -1
         return out
 
 
 @dataclass
 class RemoteEmbedder:
-    """A model behind HTTP: POST ``{"input": [...]}``, answer ``{"data": [{"embedding": [...]}, ...]}``. Tried ``attempts`` times."""
+    """A model behind HTTP: POST ``{"input": [...]}``, answer ``{"data": [{"embedding": [...]}, ...]}``.
+
+    A request holds at most ``batch`` texts and is tried ``attempts`` times, each for at most ``timeout`` seconds in all; the last failure is logged and raised.
+    """
 
     address: str
     key: str
     dim: int
     timeout: float = 30.0
     attempts: int = 3
+    batch: int = 64
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        if not texts:
-            return np.zeros((0, self.dim))
+        parts = [self._encode(texts[at : at + self.batch]) for at in range(0, len(texts), self.batch)]
+        return np.concatenate(parts) if parts else np.zeros((0, self.dim))
+
+    def _read(self, response, deadline: float) -> bytes:
+        out = bytearray()
+        while block := response.read1(1 << 16):
+            out += block
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"no whole answer within {self.timeout} s")
+        return bytes(out)
+
+    def _encode(self, texts: list[str]) -> np.ndarray:
         request = urllib.request.Request(self.address, json.dumps({"input": texts}).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})  # noqa: S310
         for left in reversed(range(self.attempts)):
+            deadline = time.monotonic() + self.timeout
             try:
                 with urllib.request.urlopen(request, timeout=self.timeout) as r:  # noqa: S310
-                    rows = [x["embedding"] for x in json.load(r)["data"]]
+                    rows = [x["embedding"] for x in json.loads(self._read(r, deadline))["data"]]
                 if len(rows) != len(texts):
                     raise ValueError(f"{len(rows)} vectors for {len(texts)} texts")
                 return np.asarray(rows, float)
-            except (OSError, ValueError, KeyError):
+            except (OSError, ValueError, KeyError) as e:
                 if not left:
+                    logging.getLogger("corpusloom").error("embedding failed after %d attempts (%d texts): %s", self.attempts, len(texts), e)
                     raise
         raise AssertionError
 
@@ -182,7 +198,3 @@ class HttpNotifier:
 
     def alert(self, message: str) -> None:
         self._send(self.alert_address, message)
-
-
-def now_micros() -> int:
-    return time.time_ns() // 1000

@@ -40,3 +40,10 @@ def test_operator(spark):
 @pytest.mark.parametrize("n", [4900, 1])
 def test_comment_example(n):
     assert chunk_text("y" * n)[0][1] == (2 if n == 4900 else 1)
+
+
+def test_a_text_that_fails_gives_an_error_row(spark):
+    df = spark.createDataFrame([("a", "text"), ("b", None), ("c", " ")], "url string, content string")
+    got = {r.url: r for r in chunk_rows(df, ["url"], "content", ChunkRule(target=0)).collect()}
+    assert set(got) == {"a"} and got["a"].error.startswith("ZeroDivisionError") and got["a"].content is None
+    assert all(r.error is None for r in chunk_rows(df, ["url"], "content").collect())

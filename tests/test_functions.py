@@ -143,3 +143,67 @@ def test_report():
 def test_config():
     got = PipelineConfig.from_env({"BATCH_SIZE": "5", "BATCH_COUNT": "", "FORCE_UPDATE_ALL": "true"})
     assert (got.batch_size, got.batch_count, got.force_update_all) == (5, 30, True)
+
+
+def test_containment_in_json(spark):
+    from corpusloom.operators.retrieval import json_contains
+
+    rows = [(1, '{"a":{"b":1,"c":[{"d":"x","e":null},{"d":"y"}]},"t":true}'), (2, '{"a":[1]}'), (3, "{"), (4, None), (5, '{"a":{"b":"1"}}')]
+    df = spark.createDataFrame(rows, "id int, j string")
+    holds = lambda pattern: [r.id for r in df.where(json_contains(F.col("j"), pattern)).orderBy("id").collect()]
+    assert holds({}) == [1, 2, 5]
+    assert holds({"a": {"b": 1}}) == [1] and holds({"a": {"b": "1"}}) == [5] and holds({"a": [1]}) == [2]
+    assert holds({"a": {"c": [{"d": "y"}]}}) == [1] and holds({"a": {"c": [{"d": "y", "e": None}]}}) == []
+    assert holds({"a": {"c": [{"e": None}, {"d": "y"}]}}) == [1] and holds({"t": True}) == [1] and holds({"t": 1}) == []
+    assert holds([]) == []
+
+
+def test_tokens_of_any_script(spark):
+    from corpusloom.operators.retrieval import matches_all
+
+    df = spark.createDataFrame([("Über-Größe 5", "naïve"), (None, "uber"), (None, None)], "t string, c string")
+    assert [df.where(matches_all(q, F.col("t"), F.col("c"))).count() for q in ("ÜBER", "größe naïve", "uber", "gr", "")] == [1, 1, 1, 0, 0]
+
+
+def test_nearest_of_many_queries(spark, monkeypatch):
+    import numpy as np
+
+    from corpusloom.operators import retrieval
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(-2, 3, (80, 4))
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(900, None), (901, [1.0]), (902, [float("nan")] * 4)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(3)
+    good = [i for i in range(80) if x[i].any()]
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    want = {(q, j) for q in good if q % 7 == 0 for j in sorted(good, key=lambda j: (-round(float(unit[q] @ unit[j]), 12), j))[:3]}
+    for block in (20_000, 4):
+        monkeypatch.setattr(retrieval, "QUERY_BLOCK", block)
+        assert {(r.query, r.id) for r in retrieval.top_k_of_queries(df.where("id % 7 = 0"), df, 3, 4).collect()} == want
+    assert retrieval.top_k_of_queries(df.where("false"), df, 3, 4).count() == 0
+
+
+def test_remote_embedder_bounds_its_requests(monkeypatch):
+    import io
+    import json
+
+    from corpusloom.sources import providers
+
+    sizes = []
+
+    class Answer(io.BytesIO):
+        def __enter__(self):
+            return self
+
+    def answer(request, timeout):
+        texts = json.loads(request.data)["input"]
+        sizes.append(len(texts))
+        return Answer(json.dumps({"data": [{"embedding": [1.0, len(t)]} for t in texts]}).encode())
+
+    monkeypatch.setattr(providers.urllib.request, "urlopen", answer)
+    made = providers.RemoteEmbedder("http://x.example", "k", 2, batch=3)
+    assert made.encode(["a" * i for i in range(8)])[:, 1].tolist() == list(range(8)) and sizes == [3, 3, 2]
+    assert made.encode([]).shape == (0, 2)
+    monkeypatch.setattr(providers.urllib.request, "urlopen", lambda request, timeout: Answer(b'{"data": []}'))
+    with pytest.raises(ValueError):
+        made.encode(["a"])

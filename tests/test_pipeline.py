@@ -206,3 +206,55 @@ def test_two_batches_claim_up_to_120_pages(spark):
     lowest = min(counts(pages.where(in_scope(F.col("url"), PipelineConfig()))).values())
     tier = pages.where(in_scope(F.col("url"), PipelineConfig()) & (F.col("collect_count") == lowest)).count()
     assert len(results) == 2 and results[0].claimed == min(60, tier) and results[1].claimed <= 60  # a batch takes one tier at most
+
+
+def size_of(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files if f.endswith(".parquet"))
+
+
+def test_a_batch_writes_what_it_changes(spark, tmp_path):
+    """The bytes of a batch are the same for a table of ten times the rows."""
+    doc = f"{O}/documentation/"
+    fetcher = TableFetcher(spark.createDataFrame([(f"{doc}a", 200, "OK", document("N", "new", "/documentation/found"))], "url string, status int, reason string, body string"))
+    written = []
+    for n in (100, 1000):
+        store = S.SnapshotStore(spark, f"file://{tmp_path}/{n}")
+        p, c = tables(spark, [page("a", 1, "", None), *(page(f"x{i}", 2, f"text {i}") for i in range(n))], [chunk(f"x{i}") for i in range(n)])
+        store.write(pages=p.coalesce(1), chunks=c.coalesce(1))
+        before = size_of(f"{tmp_path}/{n}")
+        assert Pipeline(spark, store, fetcher, CONFIG).run_batch().changed == 1
+        written.append(size_of(f"{tmp_path}/{n}") - before)
+        assert store.read("pages").count() == n + 2 and store.read("chunks").count() == n + 1
+    assert written[1] < 1.05 * written[0]
+
+
+def test_deltas_are_merged_and_old_folders_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "COMPACT_AFTER", 2)
+    store = S.SnapshotStore(spark, f"file://{tmp_path}/s")
+    p, c = tables(spark, [page("a", 0), page("b", 0)], [chunk("a"), chunk("a", 1), chunk("b")])
+    store.write(pages=p, chunks=c)
+    for k in range(1, 6):
+        store.change(pages=S.Delta(p.where("id = 'id-a'").withColumn("collect_count", F.lit(k))))
+        assert {r.id: r.collect_count for r in store.read("pages").collect()} == {"id-a": k, "id-b": 0}
+        assert len(store._manifest()["tables"]["pages"]) <= 3
+    assert len(os.listdir(f"{tmp_path}/s/pages")) <= 6  # of eleven that were written
+    store.change(pages=S.Delta(p.limit(0), gone=p.where("id = 'id-b'").select("id")), chunks=S.Delta(c.where("url like '%b'").withColumn("content", F.lit("new")), gone=c.select("url")))
+    assert [r.id for r in store.read("pages").collect()] == ["id-a"] and [r.content for r in store.read("chunks").collect()] == ["new"]
+
+
+def test_of_two_writers_the_second_fails(spark, tmp_path):
+    p, c = tables(spark, [page("a", 0)], [chunk("a")])
+    first, second = (S.SnapshotStore(spark, f"file://{tmp_path}/s") for _ in range(2))
+    first.write(pages=p, chunks=c)
+    stale = second._manifest()
+    first.change(pages=S.Delta(p.withColumn("collect_count", F.lit(7))))
+    with pytest.raises(RuntimeError):
+        second._publish(stale, stale["tables"])
+    assert [r.collect_count for r in second.read("pages").collect()] == [7]
+
+
+def test_workers_claim_disjoint_rows(spark):
+    pages, _ = tables(spark, [page(f"p{i}", i % 2) for i in range(60)], [])
+    claims = [{r.id for r in S.claim_batch(pages, PipelineConfig(batch_size=60, worker=k, workers=4)).collect()} for k in range(4)]
+    assert sum(map(len, claims)) == len(set().union(*claims)) == 30 and all(claims)
+    assert PipelineConfig.from_env({"WORKER": "2", "WORKERS": "5"}).workers == 5
