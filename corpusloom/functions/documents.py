@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.errors import permanent
@@ -20,6 +20,11 @@ def parse(raw_json: Column) -> Column:
     return F.try_parse_json(raw_json)
 
 
+def parsed(rows: DataFrame, *keep: str, body: str = "raw_json") -> DataFrame:
+    """The columns ``keep`` and ``doc``, the parsed document: a column of its own, so that a text is parsed once however often it is looked into."""
+    return rows.select(*keep, parse(F.col(body)).alias("doc"))
+
+
 def platforms(doc: Column) -> Column:
     """Platforms as structs; an element of another shape is NULL inside."""
     items = _variant(doc, "$.metadata.platforms", "array<variant>")

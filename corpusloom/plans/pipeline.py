@@ -64,7 +64,7 @@ def process_fetched(claimed: DataFrame, answers: DataFrame, config: PipelineConf
     failed = F.when(F.col("http_status").isNull() & F.col("reason").isNull() & F.col("body").isNull(), "Missing result").otherwise(status_error(F.col("http_status"), F.col("reason"), url, config.permanent_statuses))
     scraped = transcript_error(F.col("body"))
     video_error = F.when(scraped.isNotNull(), F.concat(F.lit("PERMANENT_ERROR:"), scraped, F.lit(":"), url))
-    checked = both.withColumn("error", F.coalesce(failed, F.when(F.col("video"), video_error).otherwise(validate_document(parse(F.col("body"))))))
+    checked = both.withColumn("_parsed", parse(F.col("body"))).withColumn("error", F.coalesce(failed, F.when(F.col("video"), video_error).otherwise(validate_document(F.col("_parsed"))))).drop("_parsed")
     rendered = render_documents(checked.withColumn("_doc", F.when(F.col("error").isNull() & ~F.col("video"), F.col("body"))), "_doc").drop("_doc")
     video_title, video_text = page_title(F.col("body")), transcript(F.col("body"))
     ok = F.col("error").isNull()

@@ -239,7 +239,7 @@ _INVALID = f"""CASE WHEN j IS NULL OR json_type(j) <> 'OBJECT' THEN 'Invalid res
 
 @query(f"WITH d AS (SELECT id, TRY_CAST(raw_json AS JSON) AS j FROM pages) SELECT id, {_INVALID} AS error FROM d")
 def document_validate(spark: SparkSession, d: str) -> DataFrame:
-    return pages(spark, d).select("id", D.validate_document(D.parse(F.col("raw_json"))).alias("error"))
+    return D.parsed(pages(spark, d), "id").select("id", D.validate_document(F.col("doc")).alias("error"))
 
 
 # ---------------------------------------------------------------- titles
@@ -269,13 +269,13 @@ _TITLE = f"""nullif(trim(CASE WHEN role IS NOT NULL AND title IS NOT NULL THEN r
 
 @query(_TITLES + " SELECT id, platforms, note FROM t")
 def platform_format(spark: SparkSession, d: str) -> DataFrame:
-    known = D.platforms(D.parse(F.col("raw_json")))
-    return pages(spark, d).select("id", D.platform_line(known).alias("platforms"), D.deprecation_note(known).alias("note"))
+    known = D.platforms(F.col("doc"))
+    return D.parsed(pages(spark, d), "id").select("id", D.platform_line(known).alias("platforms"), D.deprecation_note(known).alias("note"))
 
 
 @query(_TITLES + f" SELECT id, {_TITLE} AS title FROM t")
 def title_compose(spark: SparkSession, d: str) -> DataFrame:
-    return pages(spark, d).select("id", D.document_title(D.parse(F.col("raw_json"))).alias("title"))
+    return D.parsed(pages(spark, d), "id").select("id", D.document_title(F.col("doc")).alias("title"))
 
 
 _RENDERED = f""",
@@ -452,10 +452,11 @@ def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.cosine_top_k(rows, target, 5, "vec_id").select("vec_id", F.round("similarity", 6).alias("similarity"))
 
 
-@query("""SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 1000) AS INTEGER) AS VARCHAR)), ',') || ']' AS literal FROM embeddings""")
+@query("""SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: CAST(CAST(CAST(x AS DOUBLE) AS DECIMAL(12, 6)) AS VARCHAR)), ',') || ']' AS literal FROM embeddings""")
 def vector_literal(spark: SparkSession, d: str) -> DataFrame:
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int"))
-    return read_table(spark, d, "embeddings").select("vec_id", vectors.vector_literal(scaled).alias("literal"))
+    """Six decimals a value: engines write floating-point numbers differently."""
+    decimals = F.transform("embedding", lambda x: x.cast("double").cast("decimal(12,6)"))
+    return read_table(spark, d, "embeddings").select("vec_id", vectors.vector_literal(decimals).alias("literal"))
 
 
 _NEAREST = """
